@@ -102,3 +102,8 @@ def sql_time(column: str) -> str:
 
 LAG_NAMES = list(LAG_COLUMNS)
 HISTORY = _HISTORY
+
+
+def draw(expression: str, seed: int) -> str:
+    """SQL twin of the repeatable draw from a row id."""
+    return f"((({expression}) % 2147483647) * 48271 + {seed * 69621 + 11}) % 2147483647"

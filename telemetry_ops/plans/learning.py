@@ -1 +1,167 @@
-QUERIES = {}
+"""Fold, oversampling, model and anomaly-score queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from telemetry_ops.config import TrainConfig
+from telemetry_ops.operators import align as al, anomaly as an, explain, smote as sm, train
+from telemetry_ops.plans.common import HISTORY, OFF_TIE, SENSORS, SYSTEM_NUMERIC, draw, r, rounded, sql
+from telemetry_ops.scratch import written
+from telemetry_ops.sources import telemetry as t
+
+_SEED = 42
+_FEATURES = [c for c in SYSTEM_NUMERIC if c != "machine_failure"]
+_QUICK = TrainConfig(folds=3, max_trees=4, max_depth=3, step_size=0.3)
+
+
+FOLDS_SQL = ("SELECT *, ((row_number() OVER (ORDER BY y, " + draw("event_id", _SEED)
+             + ", event_id) - 1) % 5)::INT AS fold FROM fx_scores")
+
+
+def _folds(spark, d):
+    return train.stratified_folds(t.scores(spark, d), "y", "event_id", 5, _SEED).select("event_id", "y", "fold")
+
+
+def _knn(spark, d):
+    return rounded(sm.knn(t.minority_vectors(spark, d), "vec_id", "vec", 5, block_rows=100))
+
+
+def _smote(spark, d):
+    df = t.minority_vectors(spark, d).withColumn("y", F.when(F.col("label") == 0, 1).otherwise(0)).drop("label")
+    made = sm.smote(df, "y", "vec_id", "vec", 0.5, 5, _SEED).where(F.col("base_id").isNotNull())
+    total = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x)
+    return rounded(made.select("y", "base_id", "copy", F.element_at("vec", 1).alias("first"),
+                               F.element_at("vec", -1).alias("last"), total.alias("total")))
+
+
+def _healthy(spark, d):
+    return an.healthy_split(t.system(spark, d), "machine_failure", "event_id").select("event_id", "is_train")
+
+
+def _standardise(spark, d):
+    df = an.standardise(t.system(spark, d), SENSORS, F.col("machine_failure") == 0)
+    return rounded(df.select("event_id", *SENSORS))
+
+
+def _normalise(spark, d):
+    return rounded(an.normalise(t.system(spark, d), "vibration_mm_s", "scaled").select("event_id", "scaled"))
+
+
+def _separation(spark, d):
+    return rounded(an.separation(t.scores(spark, d), "score", "y"))
+
+
+def _ramped(spark, d):
+    return an.failure_ramp(t.system(spark, d), "machine_id", "timestamp", "event_id", "machine_failure")
+
+
+def _ramp(spark, d):
+    return rounded(_ramped(spark, d).select("event_id", "ramp"))
+
+
+def _status(spark, d):
+    return an.status_label(_ramped(spark, d), "ramp", "machine_failure").select("event_id", "maintenance_status")
+
+
+def _composite(spark, d):
+    df = al.align(_ramped(spark, d), t.application(spark, d))
+    df = df.withColumn("software_only", F.coalesce((F.col("http_5xx_count") > 15).cast("int"), F.lit(0)))
+    return rounded(an.composite_score(df).select("event_id", "anomaly_score", "is_anomaly"), nudge=OFF_TIE)
+
+
+def _reconstruction(spark, d):
+    healthy = F.col("machine_failure") == 0
+    scaled = an.standardise(t.system(spark, d), _FEATURES, healthy)
+    scored = an.reconstruction_error(scaled, _FEATURES, healthy, k=4, name="score")
+    return an.normalise(scored, "score").select("event_id", "machine_failure", "score")
+
+
+def _cross_validation(spark, d):
+    scored, _ = train.cross_validate(t.system(spark, d), "machine_failure", "event_id", _FEATURES, _QUICK)
+    return scored
+
+
+def _model(spark, d):
+    df = train.with_vector(t.system(spark, d), _FEATURES)
+    return df, train.fit_boosted(df, "machine_failure", _QUICK)
+
+
+def _score(spark, d):
+    df, model = _model(spark, d)
+    return train.score(model, df).select("event_id", "machine_failure", "score")
+
+
+def _contributions(spark, d):
+    df, model = _model(spark, d)
+    return explain.contributions(model, t.system(spark, d), _FEATURES, keep=["event_id"])
+
+
+def _model_importance(spark, d):
+    long = written(_contributions(spark, d).select("event_id", F.explode("contributions").alias("c"))
+                   .select("event_id", "c.feature", "c.contribution"), "contributions")
+    return explain.top_features(explain.global_importance(long))
+
+
+_X = ", ".join(f"round(({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END, 6) AS {c}" for c in SENSORS)
+_STATS = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in SENSORS)
+_RAMP = {
+    "numbered": f"SELECT event_id, machine_id, machine_failure, row_number() OVER ({HISTORY}) - 1 AS rn FROM fx_system",
+    "failures": "SELECT machine_id, rn AS f, greatest(rn - 18, 0) AS s FROM numbered WHERE machine_failure = 1",
+    "ramps": "SELECT n.event_id, n.machine_failure, CASE WHEN n.machine_failure = 1 THEN 1.0::DOUBLE ELSE coalesce("
+             "max((n.rn - x.s)::DOUBLE / (x.f - x.s)), 0.0) END AS ramp FROM numbered n LEFT JOIN failures x "
+             "ON x.machine_id = n.machine_id AND x.f > n.rn AND x.f <= n.rn + 18 GROUP BY n.event_id, n.machine_failure",
+}
+_PAIR = ("SELECT a.{i} AS id, b.{i} AS neighbour, list_distance(a.vec, b.vec) AS distance, row_number() OVER "
+         "(PARTITION BY a.{i} ORDER BY list_distance(a.vec, b.vec), b.{i}) AS rank FROM {v} a JOIN {v} b "
+         "ON a.{i} <> b.{i} QUALIFY rank <= 5")
+_VEC = "SELECT vec_id, label, embedding::DOUBLE[] AS vec FROM embeddings"
+_COPY = "base_id * 1009 + copy"
+
+QUERIES = {
+    "stratified_folds": (_folds, sql("SELECT event_id, y, fold FROM folds", "fx_scores", folds=FOLDS_SQL)),
+    "nearest_neighbours": (_knn, sql(f"SELECT id, neighbour, {r('distance')}, rank FROM pairs", v=_VEC,
+                                     pairs=_PAIR.format(i="vec_id", v="v"))),
+    "smote": (_smote, sql(
+        "SELECT 1 AS y, base_id, copy, round(vec[1], 6) AS first, round(vec[len(vec)], 6) AS last, "
+        "round(list_sum(vec), 6) AS total FROM (SELECT d.base_id, d.copy, list_transform(list_zip(d.vec, o.vec), "
+        "lambda p: p[1] + u * (p[2] - p[1])) AS vec FROM draws d JOIN pairs q ON q.id = d.base_id AND q.rank = d.pick "
+        "JOIN rare o ON o.vec_id = q.neighbour)",
+        v=_VEC, rare="SELECT *, row_number() OVER (ORDER BY vec_id) - 1 AS nth FROM v WHERE label = 0",
+        pairs=_PAIR.format(i="vec_id", v="rare"),
+        n="SELECT floor(0.5 * count(*) FILTER (label <> 0))::BIGINT - count(*) FILTER (label = 0) AS wanted, "
+          "count(*) FILTER (label = 0) AS rare FROM v",
+        bases="SELECT vec_id AS base_id, vec, unnest(range(1, (wanted // n.rare + CASE WHEN nth < wanted % n.rare "
+              "THEN 1 ELSE 0 END + 1)::BIGINT)) AS copy FROM rare, n",
+        draws=f"SELECT *, {draw(_COPY, _SEED)} % 5 + 1 AS pick, "
+              f"({draw(_COPY, _SEED + 1)}) / 2147483647.0::DOUBLE AS u FROM bases")),
+    "healthy_split": (_healthy, sql(
+        f"SELECT event_id, {draw('event_id', _SEED)} < {int(2147483647 * 0.8)} AS is_train FROM fx_system "
+        "WHERE machine_failure = 0", "fx_system")),
+    "standardise": (_standardise, sql(
+        f"SELECT event_id, {_X} FROM fx_system, (SELECT {_STATS} FROM fx_system WHERE machine_failure = 0)",
+        "fx_system")),
+    "normalise": (_normalise, sql(
+        "SELECT event_id, round((vibration_mm_s - min(vibration_mm_s) OVER ()) / (max(vibration_mm_s) OVER () - "
+        "min(vibration_mm_s) OVER () + 1e-8), 6) AS scaled FROM fx_system", "fx_system")),
+    "separation": (_separation, sql(
+        f"SELECT {r('hm AS healthy_mean', 'hs AS healthy_std', 'fm AS failure_mean', 'fs AS failure_std')}, "
+        "round(d, 6) AS separation, CASE WHEN d > 1 THEN 'STRONG' WHEN d > 0.5 THEN 'MODERATE' ELSE 'WEAK' END AS "
+        "verdict FROM (SELECT *, (fm - hm) / (hs + 1e-8) AS d FROM (SELECT avg(score) FILTER (y = 0) AS hm, "
+        "stddev_pop(score) FILTER (y = 0) AS hs, avg(score) FILTER (y = 1) AS fm, "
+        "stddev_pop(score) FILTER (y = 1) AS fs FROM fx_scores))", "fx_scores")),
+    "failure_ramp": (_ramp, sql("SELECT event_id, round(ramp, 6) AS ramp FROM ramps", "fx_system", **_RAMP)),
+    "status_label": (_status, sql(
+        "SELECT event_id, CASE WHEN machine_failure = 1 THEN 'Failure' WHEN ramp > 0.6 THEN 'Warning' WHEN ramp > 0 "
+        "THEN 'Degrading' ELSE 'Normal' END AS maintenance_status FROM ramps", "fx_system", **_RAMP)),
+    "composite_score": (_composite, sql(
+        f"SELECT event_id, {r('s AS anomaly_score', nudge=OFF_TIE)}, (s > 0.55)::INT AS is_anomaly FROM (SELECT a.event_id, least(greatest(0.0, "
+        f"ramp, tool_wear_min * {0.35 / 250!r}::DOUBLE, error_rate_pct * {0.3 / 40!r}::DOUBLE, "
+        f"network_latency_ms * {0.2 / 130!r}::DOUBLE, coalesce((http_5xx_count > 15)::INT, 0) * 0.85::DOUBLE), 1.0) AS s "
+        "FROM fx_aligned a JOIN ramps USING (event_id))", "fx_aligned", **_RAMP)),
+    "reconstruction_error": (_reconstruction, None),
+    "cross_validation": (_cross_validation, None),
+    "boosted_score": (_score, None),
+    "feature_contributions": (_contributions, None),
+    "model_importance": (_model_importance, None),
+}

@@ -1 +1,127 @@
-QUERIES = {}
+"""Streaming queries: the derived tables are written as a few files, read as a stream, and run until all is processed."""
+
+from __future__ import annotations
+
+import dataclasses
+
+from pyspark.sql import functions as F
+
+from telemetry_ops.config import FeatureConfig
+from telemetry_ops.operators import align as al, drift, features as f
+from telemetry_ops.operators.scan import positions
+from telemetry_ops.plans import quality as pq
+from telemetry_ops.plans.common import SYSTEM_NAMES, r, rounded, sql, sql_time, text_time
+from telemetry_ops.plans.feature import _KEPT, _CROSS, _LAGS, _MEANS, _STDS, _STRESS
+from telemetry_ops.plans.feature import r as off_tie, rounded as off_tie_df
+from telemetry_ops.scratch import new_path
+from telemetry_ops.sources import telemetry as t
+from telemetry_ops.streaming import pipelines as s
+
+_FILES = 3
+
+
+def _source(spark, df, time: str = "timestamp", rid: str = "event_id"):
+    """``df`` as a stream of three files in time order."""
+    path = new_path(spark, "incoming")
+    placed = positions(df, [time, rid], "_pos")
+    n = placed.count()
+    for i in range(_FILES):
+        part = placed.where((F.col("_pos") >= n * i // _FILES) & (F.col("_pos") < n * (i + 1) // _FILES))
+        part.drop("_pos").coalesce(1).write.mode("append").parquet(path)
+    return s.stream_source(spark, path, df.schema)
+
+
+def _run(spark, stream, mode="append"):
+    """Everything a stream emits; in complete mode the result of its last batch."""
+    path = new_path(spark, "emitted")
+    s.run_available(stream, path, new_path(spark, "progress"), mode)
+    out = spark.read.parquet(path)
+    if mode == "complete":
+        out = out.where(F.col("batch") == out.agg(F.max("batch")).scalar())
+    return out.drop("batch")
+
+
+def _flags(spark, d):
+    stream = s.stream_flags(_source(spark, t.system(spark, d)), SYSTEM_NAMES)
+    return _run(spark, stream).select("event_id", "_quality_flag")
+
+
+def _hourly(spark, d):
+    df = _source(spark, t.alerts(spark, d).select("id", "created_at", "failure_prob"), "created_at", "id")
+    out = _run(spark, s.stream_hourly(df.withColumn("created_at", F.col("created_at").cast("timestamp"))), "complete")
+    return off_tie_df(out.withColumn("hour", text_time("hour")))
+
+
+def _quality(spark, d):
+    out = _run(spark, s.stream_quality(_source(spark, t.system(spark, d)), SYSTEM_NAMES, "network_latency_ms"),
+               "complete")
+    return rounded(out.withColumn("window_start", text_time("window_start")))
+
+
+def _ema(spark, d):
+    """Windows final after the watermark, then the carried average over them; two streams in a row."""
+    stream = s.stream_quality(_source(spark, t.system(spark, d)), SYSTEM_NAMES, "network_latency_ms")
+    reports = new_path(spark, "reports")
+    s.run_available(stream, reports, new_path(spark, "progress"))
+    schema = "window_start timestamp, total_rows long, missing long, out_of_bounds long, median_latency double"
+    later = spark.readStream.schema(schema).parquet(reports)
+    return rounded(_run(spark, s.stream_ema(later, "system")).withColumn("window_start", text_time("window_start")))
+
+
+def _drift(spark, d):
+    base = pq._base(pq.with_chunks(spark, d))
+    counts = _run(spark, s.stream_bin_counts(_source(spark, t.system(spark, d)), base, "1 day"), "complete")
+    return rounded(s.drift_from_counts(counts, base).withColumn("window_start", text_time("window_start")), 5)
+
+
+def _features(spark, d):
+    cfg = dataclasses.replace(FeatureConfig(), stress_scope="fixed")
+    aligned = al.align(t.system(spark, d), t.application(spark, d))
+    out = _run(spark, s.stream_features(_source(spark, aligned), cfg))
+    return off_tie_df(out.drop("timestamp"))
+
+
+def _align(spark, d):
+    system = _source(spark, t.system(spark, d).select("event_id", "timestamp", "machine_id", "torque_Nm"))
+    app = t.application(spark, d).select("timestamp", "machine_id", "error_rate_pct").withColumn(
+        "event_id", F.xxhash64("timestamp", "machine_id"))
+    joined = s.stream_align(system, _source(spark, app).drop("event_id"))
+    return rounded(_run(spark, joined).drop("timestamp"))
+
+
+_HOUR = "date_trunc('hour', {c})"
+_EDGES = {k: v for k, v in pq._CHUNK_BINS.items()}
+_NUM = {"machine_id", "product_type", "machine_failure", "http_5xx_count", "is_anomaly"}
+_PLAIN = ", ".join(c if c in _NUM else off_tie(c) for c in _KEPT)
+_OUT = " + ".join(f"count(*) FILTER ({x})" for x in pq._OUTSIDE.values())
+_MIS = " + ".join(f"count(*) FILTER ({c} IS NULL)" for c in SYSTEM_NAMES)
+
+QUERIES = {
+    "stream_flags": (_flags, sql(
+        f"SELECT event_id, (CASE WHEN {pq._MISSING} THEN 1 ELSE 0 END) | (CASE WHEN {pq._ANY_OUTSIDE} THEN 2 ELSE 0 END) "
+        "AS _quality_flag FROM fx_system", "fx_system")),
+    "stream_hourly": (_hourly, sql(
+        f"SELECT {sql_time(_HOUR.format(c='created_at'))} AS hour, count(*) AS alert_count, "
+        f"{off_tie('avg(failure_prob) AS avg_probability')} FROM fx_alerts GROUP BY 1", "fx_alerts")),
+    "stream_quality": (_quality, sql(
+        f"SELECT {sql_time(_HOUR.format(c='timestamp'))} AS window_start, count(*) AS total_rows, {_MIS} AS missing, "
+        f"{_OUT} AS out_of_bounds, round(median(network_latency_ms), 6) AS median_latency FROM fx_system GROUP BY 1",
+        "fx_system")),
+    "stream_ema": (_ema, None),
+    "stream_drift": (_drift, sql(
+        "SELECT strftime(a.day, '%Y-%m-%d 00:00:00') AS window_start, a.col AS column, "
+        "round(round(sum((a.p - e.p) * ln(a.p / e.p)), 6), 5) AS psi FROM dshares a JOIN shares e ON e.chunk_id = 0 AND "
+        "e.col = a.col AND e.bin = a.bin GROUP BY a.day, a.col", "fx_chunks", **_EDGES,
+        **{k: v for k, v in pq._SHARES.items() if k != "psi"},
+        dlong=" UNION ALL ".join(f"SELECT date_trunc('day', timestamp) AS day, '{c}' AS col, {c}::DOUBLE AS v FROM "
+                                 "fx_chunks" for c in pq._DRIFT),
+        dbin=pq._CHUNK_BINS["binned"].replace("chunk_id, ", "day, ").replace("FROM long", "FROM dlong"),
+        dcount="SELECT day, col, bin, count(*) AS n FROM dbin GROUP BY ALL",
+        dgroup="SELECT day, col, coalesce(sum(n) FILTER (bin >= 0), 0)::DOUBLE AS total FROM dcount GROUP BY ALL",
+        dshares="SELECT g.day, g.col, b.bin, (coalesce(c.n, 0) + 1e-6) / (g.total + 1e-6 * 10) AS p FROM dgroup g "
+                "CROSS JOIN bins b LEFT JOIN dcount c ON c.day = g.day AND c.col = g.col AND c.bin = b.bin")),
+    "stream_features": (_features, sql(
+        f"SELECT event_id, {_PLAIN}, {off_tie(*_MEANS, *_STDS, *_LAGS, *_CROSS)}, {_STRESS.format(limit=40)} "
+        "AS error_under_stress FROM fx_filled", "fx_filled")),
+    "stream_align": (_align, None),
+}
