@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from telemetry_ops.config import DRIFT_COLUMNS, SENSOR_BOUNDS, SIMPLE_GATE_BOUNDS, QualityConfig
 from telemetry_ops.operators import drift, quality as q, scan
-from telemetry_ops.plans.common import SYSTEM_NAMES, r, rounded, sql, sql_time, text_time, with_chunks
+from telemetry_ops.plans.common import OFF_TIE, SYSTEM_NAMES, r, rounded, sql, sql_time, text_time, with_chunks
 from telemetry_ops.sources import telemetry as t
 
 _BOUNDS = {c: b for c, b in SENSOR_BOUNDS.items() if c in SYSTEM_NAMES}
@@ -86,7 +86,7 @@ def _psi_scores(spark, d):
 
 
 def _psi(spark, d):
-    return rounded(_psi_scores(spark, d), 5)
+    return rounded(_psi_scores(spark, d))
 
 
 def _status(spark, d):
@@ -94,14 +94,14 @@ def _status(spark, d):
 
 
 def _progression(spark, d):
-    return rounded(drift.drift_progression(_psi_scores(spark, d)), 5)
+    return rounded(drift.drift_progression(_psi_scores(spark, d)), nudge=OFF_TIE)
 
 
 def _halves(spark, d):
     placed = scan.positions(t.system(spark, d), ["timestamp", "event_id"], "row_index")
     half = placed.agg(F.floor(F.count(F.lit(1)) / 2)).scalar()
     return rounded(drift.psi_halves(placed, ["process_temperature_K", "vibration_mm_s", "torque_Nm"],
-                                    F.col("row_index") >= half), 5)
+                                    F.col("row_index") >= half))
 
 
 # ---- the same in SQL ------------------------------------------------------------------------------------------------
@@ -199,18 +199,18 @@ QUERIES = {
         "SELECT s.col AS column, s.bin::INT AS bin, round(lo + step * s.bin::DOUBLE, 6) AS low_edge, "
         "round(p, 6) AS proportion FROM shares s JOIN span USING (col) WHERE chunk_id = 0", "fx_chunks",
         **_CHUNK_BINS, **{k: v for k, v in _SHARES.items() if k != "psi"})),
-    "drift_psi": (_psi, sql("SELECT chunk_id, col AS column, round(psi, 5) AS psi FROM psi", "fx_chunks",
+    "drift_psi": (_psi, sql("SELECT chunk_id, col AS column, round(psi, 6) AS psi FROM psi", "fx_chunks",
                             **_CHUNK_BINS, **_SHARES)),
     "drift_status": (_status, sql(
         "SELECT chunk_id, col AS column, CASE WHEN psi < 0.1 THEN 'OK' WHEN psi < 0.2 THEN 'MONITOR' ELSE 'DRIFT!' END "
         "AS status, psi > 0.2 AS retrain FROM psi", "fx_chunks", **_CHUNK_BINS, **_SHARES)),
     "drift_progression": (_progression, sql(
-        "SELECT col AS column, round(early, 5) AS early_psi, round(late, 5) AS late_psi, late > early AS rising FROM "
+        f"SELECT col AS column, {r('early AS early_psi', 'late AS late_psi', nudge=OFF_TIE)}, late > early AS rising FROM "
         "(SELECT col, avg(psi) FILTER (chunk_id < 5) AS early, "
         "avg(psi) FILTER (chunk_id > (SELECT max(chunk_id) FROM psi) - 5) AS late FROM psi GROUP BY col)",
         "fx_chunks", **_CHUNK_BINS, **_SHARES)),
     "drift_halves": (_halves, sql(
-        "SELECT col AS column, round(sum((a - e) * ln(a / e)), 5) AS psi FROM (SELECT t.col, b.bin, "
+        "SELECT col AS column, round(sum((a - e) * ln(a / e)), 6) AS psi FROM (SELECT t.col, b.bin, "
         "t.later, "
         "max(CASE WHEN t.later THEN coalesce(x.n, 0)::DOUBLE / t.n + 1e-6 END) OVER w AS a, "
         "max(CASE WHEN NOT t.later THEN coalesce(x.n, 0)::DOUBLE / t.n + 1e-6 END) OVER w AS e FROM totals t "

@@ -71,7 +71,7 @@ def _ema(spark, d):
 def _drift(spark, d):
     base = pq._base(pq.with_chunks(spark, d))
     counts = _run(spark, s.stream_bin_counts(_source(spark, t.system(spark, d)), base, "1 day"), "complete")
-    return rounded(s.drift_from_counts(counts, base).withColumn("window_start", text_time("window_start")), 5)
+    return rounded(s.drift_from_counts(counts, base).withColumn("window_start", text_time("window_start")))
 
 
 def _features(spark, d):
@@ -107,10 +107,17 @@ QUERIES = {
         f"SELECT {sql_time(_HOUR.format(c='timestamp'))} AS window_start, count(*) AS total_rows, {_MIS} AS missing, "
         f"{_OUT} AS out_of_bounds, round(median(network_latency_ms), 6) AS median_latency FROM fx_system GROUP BY 1",
         "fx_system")),
-    "stream_ema": (_ema, None),
+    "stream_ema": (_ema, sql(
+        f"SELECT {sql_time('h')} AS window_start, {r('b.ema AS ema_before', 'c.ema AS ema')} FROM med JOIN e c USING (n) "
+        "LEFT JOIN e b ON b.n = med.n - 1", "fx_system",
+        med="SELECT date_trunc('hour', timestamp) AS h, median(network_latency_ms) AS m, row_number() OVER (ORDER BY "
+            "date_trunc('hour', timestamp)) AS n FROM fx_system GROUP BY 1 HAVING date_trunc('hour', timestamp) + "
+            "INTERVAL 1 hour <= (SELECT max(timestamp) FROM fx_system) - INTERVAL 10 minutes",
+        e="SELECT n, m AS ema FROM med WHERE n = 1 UNION ALL SELECT med.n, 0.3::DOUBLE * med.m + 0.7::DOUBLE * e.ema "
+          "FROM e JOIN med ON med.n = e.n + 1").replace("e AS MATERIALIZED (SELECT n, m", "e AS (SELECT n, m")),
     "stream_drift": (_drift, sql(
         "SELECT strftime(a.day, '%Y-%m-%d 00:00:00') AS window_start, a.col AS column, "
-        "round(round(sum((a.p - e.p) * ln(a.p / e.p)), 6), 5) AS psi FROM dshares a JOIN shares e ON e.chunk_id = 0 AND "
+        "round(sum((a.p - e.p) * ln(a.p / e.p)), 6) AS psi FROM dshares a JOIN shares e ON e.chunk_id = 0 AND "
         "e.col = a.col AND e.bin = a.bin GROUP BY a.day, a.col", "fx_chunks", **_EDGES,
         **{k: v for k, v in pq._SHARES.items() if k != "psi"},
         dlong=" UNION ALL ".join(f"SELECT date_trunc('day', timestamp) AS day, '{c}' AS col, {c}::DOUBLE AS v FROM "
