@@ -11,14 +11,18 @@ _SETTING = "spark.checkpoint.dir"
 _TAG = "telemetry_ops-" + uuid.uuid4().hex
 
 
+_local_folder: str | None = None
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode, where it may be unset."""
+    global _local_folder
     folder = spark.conf.get(_SETTING, None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-        folder = tempfile.mkdtemp(prefix="telemetry_ops-")
-        spark.conf.set(_SETTING, folder)
+        _local_folder = _local_folder or tempfile.mkdtemp(prefix="telemetry_ops-")
+        folder = _local_folder
     return folder.rstrip("/")
 
 
