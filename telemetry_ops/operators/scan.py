@@ -106,7 +106,8 @@ def small_side(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
-def exact_percentiles(df: DataFrame, group, value: str, probabilities: dict, max_distinct: int = 1_000_000) -> DataFrame:
+def exact_percentiles(df: DataFrame, group, value: str, probabilities: dict, max_distinct: int = 1_000_000,
+                      weight: str | None = None) -> DataFrame:
     """Exact percentiles (linear interpolation) of ``value`` per group, for groups of any size.
 
     Equal values are counted together before the shuffle. When no group has more than ``max_distinct`` distinct values
@@ -116,7 +117,7 @@ def exact_percentiles(df: DataFrame, group, value: str, probabilities: dict, max
     """
     group = [group] if isinstance(group, str) else list(group)
     counts = (df.where(F.col(value).isNotNull()).groupBy(*group, F.col(value).cast("double").alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_n")))
+              .agg((F.sum(weight) if weight else F.count(F.lit(1))).cast("long").alias("_n")))
     if df.count() <= max_distinct or (
             counts.groupBy(*group).agg(F.count(F.lit(1)).alias("d")).agg(F.max("d")).first()[0] or 0) <= max_distinct:
         return counts.groupBy(*group).agg(*[F.percentile("_v", float(p), F.col("_n")).alias(name)
@@ -125,7 +126,7 @@ def exact_percentiles(df: DataFrame, group, value: str, probabilities: dict, max
     if group:
         # the last running total of a group closes it; its first row starts at that total minus the group's size
         placed = placed.join(
-            placed.groupBy(*group).agg(F.max("_upto").alias("_end"), F.sum("_n").alias("_total")), group)
+            small_side(placed.groupBy(*group).agg(F.max("_upto").alias("_end"), F.sum("_n").alias("_total"))), group)
     else:
         total = counts.agg(F.sum("_n")).scalar()
         placed = placed.withColumn("_end", total).withColumn("_total", total)

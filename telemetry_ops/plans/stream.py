@@ -53,19 +53,18 @@ def _hourly(spark, d):
 
 
 def _quality(spark, d):
-    out = _run(spark, s.stream_quality(_source(spark, t.system(spark, d)), SYSTEM_NAMES, "network_latency_ms"),
-               "complete")
-    return rounded(out.withColumn("window_start", text_time("window_start")))
+    out = _run(spark, s.stream_quality(_source(spark, t.system(spark, d)), SYSTEM_NAMES), "complete")
+    return out.withColumn("window_start", text_time("window_start"))
 
 
 def _ema(spark, d):
-    """Windows final after the watermark, then the carried average over them; two streams in a row."""
-    stream = s.stream_quality(_source(spark, t.system(spark, d)), SYSTEM_NAMES, "network_latency_ms")
-    reports = new_path(spark, "reports")
-    s.run_available(stream, reports, new_path(spark, "progress"))
-    schema = "window_start timestamp, total_rows long, missing long, out_of_bounds long, median_latency double"
-    later = spark.readStream.schema(schema).parquet(reports)
-    return rounded(_run(spark, s.stream_ema(later, "system")).withColumn("window_start", text_time("window_start")))
+    """Value counts of windows that are final after the watermark, their medians, then the carried average over them."""
+    counts = _run(spark, s.stream_value_counts(_source(spark, t.system(spark, d)), "network_latency_ms"))
+    reports = new_path(spark, "medians")
+    s.medians(counts).coalesce(1).write.parquet(reports)
+    later = spark.readStream.schema("window_start timestamp, median_latency double").parquet(reports)
+    return rounded(_run(spark, s.stream_ema(later, "system")).withColumn("window_start", text_time("window_start"))
+                   .drop("stream"))
 
 
 def _drift(spark, d):
@@ -105,7 +104,7 @@ QUERIES = {
         f"{off_tie('avg(failure_prob) AS avg_probability')} FROM fx_alerts GROUP BY 1", "fx_alerts")),
     "stream_quality": (_quality, sql(
         f"SELECT {sql_time(_HOUR.format(c='timestamp'))} AS window_start, count(*) AS total_rows, {_MIS} AS missing, "
-        f"{_OUT} AS out_of_bounds, round(median(network_latency_ms), 6) AS median_latency FROM fx_system GROUP BY 1",
+        f"{_OUT} AS out_of_bounds FROM fx_system GROUP BY 1",
         "fx_system")),
     "stream_ema": (_ema, sql(
         f"SELECT {sql_time('h')} AS window_start, {r('b.ema AS ema_before', 'c.ema AS ema')} FROM med JOIN e c USING (n) "

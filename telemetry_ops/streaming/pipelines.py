@@ -15,6 +15,7 @@ from telemetry_ops.config import DriftConfig, FeatureConfig, QualityConfig
 from telemetry_ops.functions import missing_to_null
 from telemetry_ops.operators import features
 from telemetry_ops.operators.drift import bin_index, psi_value, shares
+from telemetry_ops.operators.scan import exact_percentiles
 from telemetry_ops.operators.quality import bounds_bit, is_outside, missing_bit
 
 WATERMARK = "10 minutes"
@@ -36,7 +37,7 @@ def stream_flags(df: DataFrame, columns, cfg: QualityConfig | None = None) -> Da
     return df.withColumn("_quality_flag", missing_bit(columns).bitwiseOR(bounds_bit(df, cfg.bounds)))
 
 
-def stream_quality(df: DataFrame, columns, latency: str, window: str = "1 hour", watermark: str = WATERMARK,
+def stream_quality(df: DataFrame, columns, window: str = "1 hour", watermark: str = WATERMARK,
                    cfg: QualityConfig | None = None) -> DataFrame:
     """One report row per event-time window, emitted once the window is final."""
     cfg = cfg or QualityConfig()
@@ -44,9 +45,20 @@ def stream_quality(df: DataFrame, columns, latency: str, window: str = "1 hour",
     missing = sum((F.when(F.col(c).isNull(), 1).otherwise(0) for c in columns), F.lit(0))
     outside = sum((is_outside(c, *cfg.bounds[c]).cast("int") for c in bounded), F.lit(0))
     return (df.withWatermark("timestamp", watermark).groupBy(F.window("timestamp", window).alias("w")).agg(
-        F.count(F.lit(1)).alias("total_rows"), F.sum(missing).alias("missing"), F.sum(outside).alias("out_of_bounds"),
-        F.percentile(latency, 0.5).alias("median_latency"))
-        .select(F.col("w.start").alias("window_start"), "total_rows", "missing", "out_of_bounds", "median_latency"))
+        F.count(F.lit(1)).alias("total_rows"), F.sum(missing).alias("missing"), F.sum(outside).alias("out_of_bounds"))
+        .select(F.col("w.start").alias("window_start"), "total_rows", "missing", "out_of_bounds"))
+
+
+def stream_value_counts(df: DataFrame, column: str, window: str = "1 hour", watermark: str = WATERMARK) -> DataFrame:
+    """How often each value occurs per window. The state is spread over values, so no task holds a whole window."""
+    return (df.withWatermark("timestamp", watermark)
+            .groupBy(F.window("timestamp", window).alias("w"), F.col(column).cast("double").alias("value"))
+            .agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("window_start"), "value", "n"))
+
+
+def medians(counts: DataFrame) -> DataFrame:
+    """Exact median per finished window from its value counts."""
+    return exact_percentiles(counts, "window_start", "value", {"median_latency": 0.5}, weight="n")
 
 
 def stream_ema(reports: DataFrame, stream_name: str, alpha: float = 0.3) -> DataFrame:
