@@ -173,7 +173,7 @@ class FeatureConfig:
     stress_fixed: float = 40.0
     # histories up to this many rows per machine stay in one group; longer ones are cut into blocks of block_rows
     max_group_rows: int = 200_000
-    block_rows: int = 50_000
+    block_rows: int = 20_000
 
     @property
     def back(self) -> int:

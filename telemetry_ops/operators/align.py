@@ -28,14 +28,13 @@ def forward_fill(df: DataFrame, key: str, time: str, rid: str, columns) -> DataF
     return df.select(*[F.last(c, ignorenulls=True).over(w).alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
-def with_history_blocks(df: DataFrame, key: str, time: str, rid: str, fill, back: int, block_rows: int) -> DataFrame:
+def with_history_blocks(placed: DataFrame, key: str, fill, back: int, block_rows: int) -> DataFrame:
     """Blocks of equal size over the (key, time, row id) order, each with the history its rows need.
 
-    Adds ``_pos``, ``_block`` and ``_ghost``. Ghost rows are the last ``back`` rows of the previous block, plus one row
+    ``placed`` carries ``_pos``, the position in that order. Adds ``_block`` and ``_ghost``. Ghost rows are the last ``back`` rows of the previous block, plus one row
     per (block, key) that holds the last non-null values of the ``fill`` columns before them. No block depends on how
     many rows a key has.
     """
-    placed = positions(df, [key, time, rid], "_pos")
     cut = halo(placed, "_pos", back, block_rows)
     # shifted blocks end where the next block's ghost rows begin
     states = placed.groupBy(block_of(F.col("_pos") + back, block_rows).alias("_block"), key).agg(
@@ -50,7 +49,7 @@ def with_history_blocks(df: DataFrame, key: str, time: str, rid: str, fill, back
 def forward_fill_blocks(df: DataFrame, key: str, time: str, rid: str, columns, block_rows: int = 500_000) -> DataFrame:
     """As :func:`forward_fill`, for keys of any size: windows run inside blocks of ``block_rows`` rows."""
     columns = list(columns)
-    cut = with_history_blocks(df, key, time, rid, columns, 0, block_rows)
+    cut = with_history_blocks(positions(df, [key, time, rid], "_pos"), key, columns, 0, block_rows)
     w = Window.partitionBy("_block", key).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     filled = cut.select("_ghost", *[
         F.last(c, ignorenulls=True).over(w).alias(c) if c in columns else F.col(c) for c in df.columns])

@@ -22,17 +22,17 @@ def _cols(names):
 def positions(df: DataFrame, order, name: str = "pos", partitions: int | None = None) -> DataFrame:
     """Add the 0-based position of every row in the total order ``order`` (its last column must make rows distinct).
 
-    One range shuffle, one written table, then a lookup of one offset per partition.
+    One range shuffle, one written table, then a lookup of one offset per partition. Without ``partitions`` adaptive
+    execution may merge small neighbouring ranges, which keeps their order.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _cols(order)
-    laid_out = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    laid_out = (ranged.sortWithinPartitions(*order)
                 .withColumn("_row", F.monotonically_increasing_id()))
     laid_out = written(laid_out, "ordered")
     part = F.shiftright("_row", _ROW_BITS)
     sizes = laid_out.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition: n rows
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     return (laid_out.withColumn("_part", part)
             .join(F.broadcast(offsets), "_part")

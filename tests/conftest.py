@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def make_session():
     session = (SparkSession.builder.master("local[8]").appName("tests")
-               .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+               .config("spark.sql.shuffle.partitions", os.environ.get("TEST_SHUFFLE_PARTITIONS", "8")).config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "6g")
                .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
