@@ -10,6 +10,15 @@ from telemetry_ops.operators import features
 _BUFFER = 36
 _MIN_HISTORY = 6
 
+# ---- fixed values: assumed deviation as a share of the value, plus a share of the distance from the usual range -----
+INSIDE_SHARE = 0.02
+VERY_FAR = (2, 0.4, 0.3)    # more than two range widths outside
+FAR = (1, 0.25, 0.2)        # more than one
+NEAR = (0.15, 0.1)
+# ---- fixed values: assumed earlier value per step, above and below the usual range; assumed wear per step -----------
+RISING, FALLING = 0.95, 1.05
+WEAR_STEPS = ((200, 2.0), (100, 1.0), (None, 0.5))
+
 
 def cold_std(column: str, window: int) -> Column:
     """Deviation assumed before six observations exist: small inside the usual range, growing with the distance.
@@ -19,22 +28,25 @@ def cold_std(column: str, window: int) -> Column:
     """
     v, (low, high) = f"`{column}`", _range(column)
     outside = f"greatest({v} - {high}, {low} - {v}, 0D)"
+    severity = f"{outside} / ({high} - {low} + 1e-6D)"
+    far = lambda value_share, distance_share: (
+        f"abs({v}) * {value_share!r}D + {outside} * {distance_share!r}D")
     return F.expr(
-        f"(CASE WHEN {v} >= {low} AND {v} <= {high} THEN abs({v}) * 0.02D"
-        f" WHEN {outside} / ({high} - {low} + 1e-6D) > 2D THEN abs({v}) * 0.4D + {outside} * 0.3D"
-        f" WHEN {outside} / ({high} - {low} + 1e-6D) > 1D THEN abs({v}) * 0.25D + {outside} * 0.2D"
-        f" ELSE abs({v}) * 0.15D + {outside} * 0.1D END) * {1 + window / 36!r}D")
+        f"(CASE WHEN {v} >= {low} AND {v} <= {high} THEN abs({v}) * {INSIDE_SHARE!r}D"
+        f" WHEN {severity} > {VERY_FAR[0]} THEN {far(*VERY_FAR[1:])} WHEN {severity} > {FAR[0]} THEN {far(*FAR[1:])}"
+        f" ELSE {far(*NEAR)} END) * {1 + window / _BUFFER!r}D")
 
 
 def cold_lag(column: str, lag: int) -> Column:
     """Earlier value assumed when history is shorter than the lag: rising above the range, falling below it."""
     v, (low, high) = f"`{column}`", _range(column)
-    return F.expr(f"{v} * CASE WHEN {v} > {high} THEN {0.95 ** lag!r}D WHEN {v} < {low} THEN {1.05 ** lag!r}D "
+    return F.expr(f"{v} * CASE WHEN {v} > {high} THEN {RISING ** lag!r}D WHEN {v} < {low} THEN {FALLING ** lag!r}D "
                   "ELSE 1D END")
 
 
 def cold_wear_rate(wear: Column) -> Column:
-    return F.when(wear > 200, 2.0).when(wear > 100, 1.0).otherwise(0.5)
+    (high, fast), (medium, usual), (_, slow) = WEAR_STEPS
+    return F.when(wear > high, fast).when(wear > medium, usual).otherwise(slow)
 
 
 def _range(column: str):
