@@ -38,7 +38,7 @@ def _high_risk(spark, d):
 def _acks(spark, d):
     done = a.apply_acks(t.alerts(spark, d), t.acknowledgements(spark, d))
     return done.select("id", "acknowledged", text_time("acknowledged_at").alias("acknowledged_at"), "acknowledged_by",
-                       "action_taken", "false_positive")
+                       "action_taken", F.col("false_positive").cast("int").alias("false_positive"))
 
 
 def _fatigue(spark, d):
@@ -127,7 +127,7 @@ QUERIES = {
         "ORDER BY created_at DESC, id DESC LIMIT 10", "fx_alerts")),
     "apply_acknowledgements": (_acks, sql(
         f"SELECT a.id, a.acknowledged OR k.at IS NOT NULL AS acknowledged, {sql_time('k.at')} AS acknowledged_at, "
-        "k.who AS acknowledged_by, k.action AS action_taken, coalesce(k.label, a.false_positive) AS false_positive "
+        "k.who AS acknowledged_by, k.action AS action_taken, coalesce(k.label, a.false_positive)::INT AS false_positive "
         "FROM fx_alerts a LEFT JOIN (SELECT alert_id, max(acknowledged_at) AS at, arg_max(acknowledged_by, "
         "acknowledged_at) AS who, arg_max(action_taken, acknowledged_at) FILTER (action_taken <> '') AS action, "
         "arg_max(is_false_positive, acknowledged_at) FILTER (is_false_positive IS NOT NULL) AS label FROM fx_acks "

@@ -88,6 +88,14 @@ def _align(spark, d):
     return rounded(_run(spark, joined).drop("timestamp"))
 
 
+def _alert_sink(spark, d):
+    """Every alert is delivered twice; the sink keeps one."""
+    df = t.alerts(spark, d).select("id", "created_at", "machine_id", "risk_level")
+    twice = _source(spark, df.unionByName(df), "created_at", "id")
+    twice = twice.withColumn("created_at", F.col("created_at").cast("timestamp"))
+    return _run(spark, s.without_repeats(twice)).select("id", "machine_id", "risk_level")
+
+
 _HOUR = "date_trunc('hour', {c})"
 _EDGES = {k: v for k, v in pq._CHUNK_BINS.items()}
 _NUM = {"machine_id", "product_type", "machine_failure", "http_5xx_count", "is_anomaly"}
@@ -129,5 +137,6 @@ QUERIES = {
     "stream_features": (_features, sql(
         f"SELECT event_id, {_PLAIN}, {off_tie(*_MEANS, *_STDS, *_LAGS, *_CROSS)}, {_STRESS.format(limit=40)} "
         "AS error_under_stress FROM fx_filled", "fx_filled")),
+    "stream_alert_sink": (_alert_sink, sql("SELECT id, machine_id, risk_level FROM fx_alerts", "fx_alerts")),
     "stream_align": (_align, None),
 }

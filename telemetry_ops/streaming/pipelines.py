@@ -184,6 +184,12 @@ def stream_align(system: DataFrame, application: DataFrame, key: str = "machine_
         .drop("_t", "_k")
 
 
+def without_repeats(alerts: DataFrame, rid: str = "id", time: str = "created_at",
+                    watermark: str = WATERMARK) -> DataFrame:
+    """Alerts with repeated deliveries of one id dropped; an id is remembered until the watermark has passed it."""
+    return alerts.withWatermark(time, watermark).dropDuplicatesWithinWatermark([rid])
+
+
 def idempotent_sink(path: str):
     """``foreachBatch`` function: a batch that is replayed replaces its own folder instead of being added again."""
     def write(df: DataFrame, batch_id: int) -> None:
