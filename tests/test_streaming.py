@@ -56,3 +56,20 @@ def test_late_rows_are_left_out_of_closed_windows(spark, tmp_path):
         s.run_available(stream(), out, progress)
     got = {str(r["hour"]): r["alert_count"] for r in spark.read.parquet(out).collect()}
     assert got["2024-01-01 00:00:00"] == 1 and got["2024-01-01 03:00:00"] == 1
+
+
+def test_aligned_stream_keeps_rows_without_a_partner(spark, tmp_path):
+    stamp = lambda df: df.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    rows = [(i, f"2024-01-01 {i:02d}:00:00", "M1") for i in range(10)]
+    system = stamp(spark.createDataFrame(rows, "event_id long, timestamp string, machine_id string"))
+    app = stamp(spark.createDataFrame([(t_, m, float(i)) for i, t_, m in rows if i % 2 == 0],
+                                      "timestamp string, machine_id string, error_rate_pct double"))
+    streams = []
+    for name, df in (("system", system), ("app", app)):
+        df.coalesce(1).write.parquet(str(tmp_path / name))
+        streams.append(s.stream_source(spark, str(tmp_path / name), df.schema))
+    s.run_available(s.stream_align(*streams), str(tmp_path / "out"), str(tmp_path / "progress"))
+    got = {r["event_id"]: r["error_rate_pct"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    # all partners are found; rows without one appear once the watermark (08:00 less 10 minutes) has passed them
+    assert {i: v for i, v in got.items() if v is not None} == {i: float(i) for i in range(0, 10, 2)}
+    assert {i for i, v in got.items() if v is None} == {1, 3, 5, 7}
