@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from telemetry_ops.llm import byte_bpe, packing, quality_rules, simhash_dedup, token_counts
+from telemetry_ops.llm import (
+    byte_bpe, exact_topk, lattice_lm, packing, quality_rules, secret_scan, simhash_dedup, token_counts, toxicity, warc)
 from telemetry_ops.llm.common import table
 
 
@@ -18,14 +19,36 @@ def op3_simhash_dedup(spark, sf_dir):
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_lattice_lm(spark, sf_dir):
+    return lattice_lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark, sf_dir):
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_secret_scan(spark, sf_dir):
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_exact_topk(spark, sf_dir):
+    return exact_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op9_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_simhash_dedup, op7_packing, op9_byte_bpe)}
+def op10_warc(spark, sf_dir):
+    return warc.derivatives(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_counts, op2_quality_rules, op3_simhash_dedup, op4_lattice_lm, op5_toxicity, op6_secret_scan, op7_packing,
+    op8_exact_topk, op9_byte_bpe, op10_warc)}
 
-SQL: dict[str, str] = {}
+SQL = {"op6_secret_scan": secret_scan.sql(), "op8_exact_topk": exact_topk.SQL}
