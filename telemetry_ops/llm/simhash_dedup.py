@@ -4,10 +4,11 @@ The 64 fingerprint bits are cut into three segments. Two fingerprints that diffe
 most one bit of one segment, so they agree on a segment with one bit left out. Every fingerprint is indexed under all
 64 one-wildcard segments; those that share a key are candidates and are verified on all bits.
 
-No group's pairs are written out. Equal fingerprints are one node. In every bucket of the index the members are first
-compared with one pivot; what is linked so far becomes a class, and then only members outside the largest class of
-their bucket are compared with the members of other classes. Two fingerprints of one class are already connected, so no
-link between components is lost, while a dense group costs about as many comparisons as it has members.
+Equal fingerprints are one node. In buckets of at most ``SMALL_BUCKET`` members all pairs are compared. In larger ones no
+pairs are written out: their members are first compared with one pivot; what is linked so far becomes a class, and
+then only members outside the largest class of their bucket are compared with the members of other classes. Two
+fingerprints of one class are already connected, so no link between components is lost, while a dense group costs about
+as many comparisons as it has members.
 
 Texts: A-Z lower-cased, words are runs of characters other than ASCII white space, 4-word shingles with repeats joined
 by spaces (fewer words: all of them; none: fingerprint zero). A null text is empty. A null id never names a component
@@ -27,7 +28,8 @@ SHINGLE = 4
 SEED = 42
 MAX_BITS = 4
 SEGMENTS = ((0, 21), (21, 21), (42, 22))  # (lowest bit, width): one differs in at most MAX_BITS // 3 = 1 bit
-PIVOT_ROUNDS = 2
+SMALL_BUCKET = 64  # members of a bucket whose pairs are all compared
+PIVOT_ROUNDS = 1  # in larger buckets
 
 
 def fingerprint(text: bytes, width: int = SHINGLE, seed: int = SEED) -> int:
@@ -90,41 +92,54 @@ def _first_key(a: str, b: str) -> Column:
     return number
 
 
+def _links_between(a: DataFrame, b: DataFrame, more: Column) -> DataFrame:
+    """Verified links of members (key, a) and (key, b) of the same buckets, each pair in one bucket only."""
+    return a.join(b, (a["key"] == b["key"]) & (_bits_apart("a", "b") <= MAX_BITS) & more
+                  & (F.shiftright(a["key"], 22) == _first_key("a", "b")))
+
+
 def linked_classes(fps: DataFrame) -> DataFrame:
     """(fp, label) for distinct fingerprints: equal labels mean the same component; single ones label themselves."""
-    fps = written(fps, "fingerprints")
-    index = fps.select(F.explode(_index_keys(F.col("fp"))).alias("key"), "fp")
-    shared = index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("pivot")).where("n > 1")
-    buckets = written(index.join(shared.drop("n"), "key"), "buckets")
-    labels = None
-    for round_ in range(PIVOT_ROUNDS):
-        near = buckets.where((F.col("fp") != F.col("pivot")) & (_bits_apart("fp", "pivot") <= MAX_BITS))
-        links = near.select("fp", "pivot").distinct()
-        if labels is not None:
-            links = links.union(labels.select("node", "label"))
-        labels = written(components(links), "classes")
-        # members with their classes, in the buckets that hold more than one class
-        named = buckets.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fps = written(fps.repartition(tasks, "fp"), "fingerprints")
+    index = fps.repartition(tasks, "fp").select(F.explode(_index_keys(F.col("fp"))).alias("key"), "fp")
+    large = written(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SMALL_BUCKET)
+                    .select("key"), "large")
+    small = index.join(large, "key", "left_anti")  # one shuffle serves both sides
+    links = _links_between(small.select("key", F.col("fp").alias("a")), small.select("key", F.col("fp").alias("b")),
+                           F.col("a") < F.col("b")).select("a", "b")
+    labels = written(components(links), "classes")
+    if not large.isEmpty():
+        labels = _with_large_buckets(written(index.join(large, "key", "left_semi"), "buckets"), labels)
+    return fps.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", F.coalesce("label", "fp").alias("label"))
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, label) after links (a, b) between nodes or labels are added."""
+    return written(components(links.toDF("a", "b").union(labels.select("node", "label"))), "classes")
+
+
+def _with_large_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, label) once the links inside large buckets (key, fp) are added to the classes ``labels``."""
+    for round_ in range(PIVOT_ROUNDS + 1):
+        named = members.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
             "key", "fp", F.coalesce("label", "fp").alias("label"))
         classes = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("least"))
-        largest = classes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"),
-                                             F.count(F.lit(1)).alias("classes")).where("classes > 1")
-        open_ = named.join(largest.select("key", F.col("top.label").alias("main")), "key")
-        if round_ + 1 < PIVOT_ROUNDS:
-            outside = classes.join(largest.select("key", F.col("top.label").alias("main")), "key").where(
-                "label != main").groupBy("key").agg(F.min("least").alias("pivot"))
-            buckets = written(open_.join(outside, "key").select("key", "fp", "pivot"), "buckets")
-        else:
-            open_ = written(open_.withColumn("inside", F.col("label") == F.col("main")).drop("main"), "open")
-    a = open_.where("not inside").select("key", F.col("fp").alias("a"), F.col("label").alias("la"))
-    b = open_.select("key", F.col("fp").alias("b"), F.col("label").alias("lb"), "inside")
-    more = a.join(b, (a["key"] == b["key"]) & (F.col("la") != F.col("lb")) & (_bits_apart("a", "b") <= MAX_BITS)
-                  & (F.col("inside") | (F.col("a") < F.col("b")))
-                  & (F.shiftright(a["key"], 22) == _first_key("a", "b"))).select("la", "lb").distinct()
-    merged = components(more).select(F.col("node").alias("label"), F.col("label").alias("final"))
-    return (fps.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
-            .withColumn("label", F.coalesce("label", "fp")).join(merged, "label", "left")
-            .select("fp", F.coalesce("final", "label").alias("label")))
+        largest = classes.groupBy("key").agg(
+            F.max(F.struct("n", "label"))["label"].alias("main"), F.count(F.lit(1)).alias("classes"),
+            F.min(F.struct("n", "least"))["least"].alias("pivot")).where("classes > 1").drop("classes")
+        named = written(named.join(largest, "key"), "members")  # in the buckets that still hold several classes
+        if round_ < PIVOT_ROUNDS:
+            near = named.where((F.col("fp") != F.col("pivot")) & (_bits_apart("fp", "pivot") <= MAX_BITS))
+            labels = _merged(labels, near.select("fp", "pivot").distinct())
+            members = named.select("key", "fp")
+    a = named.where("label != main").select("key", F.col("fp").alias("a"), F.col("label").alias("la"))
+    b = named.select("key", F.col("fp").alias("b"), F.col("label").alias("lb"), (F.col("label") == F.col("main"))
+                     .alias("inside"))
+    more = _links_between(a, b, (F.col("la") != F.col("lb")) & (F.col("inside") | (F.col("a") < F.col("b"))))
+    # a link between classes, once; labels are nodes too
+    return _merged(labels, more.select("la", "lb").distinct())
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
