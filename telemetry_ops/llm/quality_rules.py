@@ -98,9 +98,8 @@ def _main_lines(lines: DataFrame, frequent: DataFrame) -> DataFrame:
     return ordered.select("doc", F.aggregate("all", start, step)["main"].alias("main"))
 
 
-def judged(docs: DataFrame, text: str, host: str, max_docs: int, min_words: int, min_share: float) -> DataFrame:
-    """``row`` (all columns), the counts, ``base_failed``, ``kept`` and ``removed`` (hashes of removed lines)."""
-    source = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.col(host).alias("host"))
+def judged(source: DataFrame, max_docs: int, min_words: int, min_share: float) -> DataFrame:
+    """``row``, the counts, ``base_failed``, ``kept`` and ``removed`` (hashes of removed lines) from (row, text, host)."""
     table = with_row_ids(_counted(source, "text", ["row", "host"]), "doc", "quality")
     lines = table.select("doc", "host", F.explode(F.arrays_zip("lines", "line_words")).alias("x")).select(
         "doc", "host", F.col("x.lines").alias("line"), F.col("x.line_words").alias("words"))
@@ -125,15 +124,17 @@ def judged(docs: DataFrame, text: str, host: str, max_docs: int, min_words: int,
 def quality_rules(docs: DataFrame, text: str = "text", key: str = "doc_id", host: str = "source",
                   max_docs: int = MAX_DOCS, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE) -> DataFrame:
     """One row per document: ``key``, the five counts, ``base_failed``, ``kept``, ``n_removed_words``."""
-    asked = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(host).alias("h"))
-    out = judged(asked, "t", "h", max_docs, min_words, min_share)
+    asked = docs.select(F.struct(F.col(key).alias("k")).alias("row"), F.col(text).alias("text"),
+                        F.col(host).alias("host"))
+    out = judged(asked, max_docs, min_words, min_share)
     return out.select(F.col("row.k").alias(key), *[c for c in out.columns if c not in ("row", "removed")])
 
 
 def clean(docs: DataFrame, text: str = "text", host: str = "source", n_chars: str | None = "n_chars",
           max_docs: int = MAX_DOCS, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE) -> DataFrame:
     """The kept documents without their removed lines, with the columns of ``docs``; ``n_chars`` is counted anew."""
-    out = judged(docs, text, host, max_docs, min_words, min_share).where("kept")
+    source = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.col(host).alias("host"))
+    out = judged(source, max_docs, min_words, min_share).where("kept")
 
     @F.udf(T.StringType())
     def without(value, hashes):
