@@ -223,9 +223,10 @@ def scan(docs: DataFrame, text: str = "text", key: str = "doc_id", rules: tuple[
 def masked(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars",
            rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with every secret replaced by ``MASK`` (overlapping spans by one); ``n_chars`` is counted anew."""
-    table = with_row_ids(docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text")),
-                         "doc", "secrets")
-    spans = find_spans(table.select("doc", "text"), rules)
+    others = [c for c in docs.columns if c != text]
+    row = F.struct(*[F.col(c) for c in others], F.lit(True).alias("_row"))
+    table = with_row_ids(docs.select(row.alias("row"), F.col(text).alias("text")), "doc", "secrets")
+    spans = find_spans(table.select("doc", F.coalesce("text", F.lit("")).alias("text")), rules)
     before = Window.partitionBy("doc").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy("doc").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
     opens = F.coalesce((F.col("start") > F.max("end").over(before)).cast("int"), F.lit(1))
@@ -236,9 +237,8 @@ def masked(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars",
     starts = F.concat(F.transform("cuts", lambda x: x["start"]), F.array(F.length("text").cast("long")))
     kept = F.zip_with(ends, starts, lambda a, b: F.substring("text", (a + 1).cast("int"), (b - a).cast("int")))
     joined = table.join(cuts, "doc", "left").withColumn(
-        "new", F.when(F.col("cuts").isNull(), F.col("row").getField(text)).otherwise(F.array_join(kept, MASK)))
-    columns = {c: F.col("row").getField(c) for c in docs.columns}
-    columns[text] = F.col("new")
+        "new", F.when(F.col("cuts").isNull(), F.col("text")).otherwise(F.array_join(kept, MASK)))
+    columns = {c: F.col("new") if c == text else F.col("row").getField(c) for c in docs.columns}
     if n_chars in columns:
         columns[n_chars] = F.when(F.col("cuts").isNull(), columns[n_chars]).otherwise(
             F.length("new").cast(docs.schema[n_chars].dataType))
