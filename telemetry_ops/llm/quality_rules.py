@@ -138,12 +138,16 @@ def clean(docs: DataFrame, text: str = "text", host: str = "source", n_chars: st
 
     @F.udf(T.StringType())
     def without(value, hashes):
+        if not hashes:
+            return value
         gone = set(hashes)
         kept = [x for x in value.split("\n") if not x.strip() or line_hash(x.encode()) not in gone]
         return "\n".join(kept)
 
     old = F.col("row").getField(text)
-    out = out.withColumn("new", F.when(F.col("removed").isNull(), old).otherwise(without(old, "removed")))
+    # the function runs on every row, whatever condition stands before it, so texts without removed lines stay out
+    shared = F.when(F.col("removed").isNotNull(), old)
+    out = out.withColumn("new", F.coalesce(without(shared, "removed"), old))
     columns = {c: F.col("row").getField(c) for c in docs.columns}
     columns[text] = F.col("new")
     if n_chars in columns:
