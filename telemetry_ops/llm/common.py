@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from telemetry_ops.scratch import written
 
-__all__ = ["arrow_type", "fold", "map_texts", "slices", "table", "with_row_ids", "written"]
+__all__ = ["arrow_type", "by_size", "fold", "map_texts", "slices", "table", "with_row_ids", "written"]
+
+BROADCAST_ITEMS = 200_000  # rows, or list entries, that a join's smaller side may have to be sent to every task
 
 _ARROW = {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.DoubleType(): pa.float64(),
           T.StringType(): pa.string(), T.BinaryType(): pa.binary(), T.BooleanType(): pa.bool_()}
@@ -30,6 +32,16 @@ def with_row_ids(df: DataFrame, name: str, label: str = "rows") -> DataFrame:
     return written(df.withColumn(name, F.monotonically_increasing_id()), label)
 
 
+def by_size(side: DataFrame, weight: Column | int = 1, most: int = BROADCAST_ITEMS) -> DataFrame:
+    """Write the smaller side of a join and mark it for broadcast if its weights add up to at most ``most``.
+
+    Beyond that the mark is left out and the join shuffles, so nothing is broadcast whose size was not counted.
+    """
+    side = written(side, "side")
+    total = side.agg(F.coalesce(F.sum(weight if isinstance(weight, Column) else F.lit(weight)), F.lit(0))).first()[0]
+    return F.broadcast(side) if total <= most else side
+
+
 def arrow_type(kind: T.DataType) -> pa.DataType:
     if isinstance(kind, T.ArrayType):
         return pa.list_(arrow_type(kind.elementType))

@@ -19,7 +19,7 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from telemetry_ops.llm.common import with_row_ids
+from telemetry_ops.llm.common import by_size, with_row_ids
 
 MASK = "[SECRET]"
 BLOCK_BITS = 12  # documents of a block of the index: at most 2 ** BLOCK_BITS
@@ -182,6 +182,7 @@ def find_spans(table: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     if indexed:
         kinds = candidates(table, {r.kind: queries[r.kind] for r in indexed}).groupBy("doc").agg(
             F.collect_set("kind").alias("kinds"))
+        kinds = by_size(kinds)  # few documents are candidates, so their texts are seldom shuffled
         parts.append(_lengths(table.join(kinds, "doc"), indexed, lambda r: F.array_contains("kinds", r.kind)))
     if whole:
         parts.append(_lengths(table, whole, _whole_run))
@@ -236,7 +237,7 @@ def masked(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars",
     ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("cuts", lambda x: x["end"]))
     starts = F.concat(F.transform("cuts", lambda x: x["start"]), F.array(F.length("text").cast("long")))
     kept = F.zip_with(ends, starts, lambda a, b: F.substring("text", (a + 1).cast("int"), (b - a).cast("int")))
-    joined = table.join(cuts, "doc", "left").withColumn(
+    joined = table.join(by_size(cuts, F.size("cuts")), "doc", "left").withColumn(
         "new", F.when(F.col("cuts").isNull(), F.col("text")).otherwise(F.array_join(kept, MASK)))
     columns = {c: F.col("new") if c == text else F.col("row").getField(c) for c in docs.columns}
     if n_chars in columns:
