@@ -80,7 +80,7 @@ def fatigue_summary(df: DataFrame, as_of, days: int = 7, machine=None) -> DataFr
     df = df.where(F.col("created_at") >= _since(as_of, days=days))
     if machine is not None:
         df = df.where(F.col("machine_id") == machine)
-    by_risk = df.groupBy("risk_level").agg(
+    by_risk = df.groupBy(F.coalesce("risk_level", F.lit("unknown")).alias("risk_level")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("acknowledged")).alias("ack"),
         F.count_if(F.col("false_positive")).alias("fp"), F.count("false_positive").alias("labelled"))
     total = F.coalesce(F.sum("n"), F.lit(0))
@@ -155,7 +155,6 @@ def search_contributions(df: DataFrame, feature: str, min_value: float, column:
 
 
 def project_payload(df: DataFrame, paths: dict, column: str = "raw_data") -> DataFrame:
-    """Add fields of a JSON payload: ``paths`` maps output names to (JSON path, type)."""
-    return df.select("*", *[F.try_to_number(F.get_json_object(column, p), F.lit("9999999999")).alias(n)
-                            if kind == "number" else F.get_json_object(column, p).try_cast(kind).alias(n)
+    """Add fields of a JSON payload: ``paths`` maps output names to (JSON path, type); a ``number`` is a double."""
+    return df.select("*", *[F.get_json_object(column, p).try_cast("double" if kind == "number" else kind).alias(n)
                             for n, (p, kind) in paths.items()])

@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from telemetry_ops.functions import band, lcg
-from telemetry_ops.operators.scan import halo, positions, small_side
+from telemetry_ops.operators.scan import halo, join_null_safe, positions, small_side
 
 
 def healthy_split(df: DataFrame, label: str, rid: str, fraction: float = 0.8, seed: int = 42) -> DataFrame:
@@ -68,7 +68,7 @@ def failure_ramp(df: DataFrame, key: str, time: str, rid: str, label: str, back:
     """
     placed = positions(df, [key, time, rid], "_pos")
     starts = placed.groupBy(key).agg(F.min("_pos").alias("_start"))
-    placed = placed.join(small_side(starts), key)
+    placed = join_null_safe(placed, small_side(starts), key, "inner")
     top = placed.agg(F.max("_pos")).scalar()
     cut = halo(placed.withColumn("_rev", top - F.col("_pos")), "_rev", back, block_rows)
     ahead = (Window.partitionBy("_block", key).orderBy("_rev").rowsBetween(-back, -1))

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from telemetry_ops.config import SIMPLE_GATE_BOUNDS, QualityConfig
@@ -14,7 +15,7 @@ from telemetry_ops.functions import python_round
 from telemetry_ops.functions.scalar import any_of
 from telemetry_ops.operators.scan import block_of, running, small_side
 
-_EMA_MEMORY = 128  # 0.7 ** 128 < 2e-20: older medians cannot change a double
+_FOLD = 128  # medians of a block of the moving average
 _EMA_BLOCK = 4096
 
 
@@ -46,22 +47,34 @@ def latency_ema(df: DataFrame, chunk: str, column: str, alpha: float = 0.3) -> D
     """Per chunk: median of ``column``, the moving average after the chunk (``ema``) and before it (``ema_before``).
 
     The average starts at the first median and then mixes ``alpha`` of each new one; a chunk without values keeps it.
-    The recurrence runs over the chunk table: medians are numbered without the empty chunks, cut into overlapping
-    blocks, and folded over the last 128 of them.
+    The recurrence is linear, so it is exact for any ``alpha``: medians are numbered without the empty chunks and cut
+    into blocks; inside a block the average is weight * (average before the block) + value, and what enters each block
+    is carried through a table with one row per block.
     """
     medians = df.groupBy(chunk).agg(F.median(column).alias("median"))  # a chunk has a fixed number of rows
     present = running(medians.withColumn("_one", F.when(F.col("median").isNotNull(), 1).otherwise(0)),
                       chunk, sums={"_nth": "_one"}, block_rows=_EMA_BLOCK)
     known = present.where("_one = 1").withColumn("_nth", F.col("_nth") - 1)
-    own = block_of("_nth", _EMA_BLOCK)
-    near_end = F.pmod(F.col("_nth"), F.lit(_EMA_BLOCK)) >= _EMA_BLOCK - _EMA_MEMORY
-    cut = (known.withColumn("_own", own)
-           .withColumn("_part", F.explode(F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own)))))
-    frame = Window.partitionBy("_part").orderBy("_nth").rowsBetween(-(_EMA_MEMORY - 1), 0)
-    recent = F.collect_list("median").over(frame)
-    ema = F.aggregate(F.slice(recent, 2, _EMA_MEMORY), F.element_at(recent, 1),
-                      lambda acc, m: F.lit(alpha) * m + F.lit(1 - alpha) * acc)
-    folded = cut.withColumn("_ema", ema).where("_part = _own").select(chunk, "_ema")
+    known = known.withColumn("_part", block_of("_nth", _FOLD))
+    upto = Window.partitionBy("_part").orderBy("_nth").rowsBetween(Window.unboundedPreceding, 0)
+    recent = F.collect_list("median").over(upto)  # at most ``_FOLD`` entries
+    inside = known.withColumn("_value", F.aggregate(recent, F.lit(0.0), lambda acc, m: alpha * m + (1 - alpha) * acc)
+                              ).withColumn("_weight", F.pow(F.lit(1 - alpha), F.size(recent)))
+    ends = inside.groupBy("_part").agg(F.max_by("_value", "_nth").alias("b"), F.max_by("_weight", "_nth").alias("a"),
+                                       F.min_by("median", "_nth").alias("first"))
+
+    def carry(blocks: pd.DataFrame) -> pd.DataFrame:
+        blocks = blocks.sort_values("_part")
+        before, now = [], blocks["first"].iloc[0]
+        for a, b in zip(blocks["a"], blocks["b"]):
+            before.append(now)
+            now = a * now + b
+        return pd.DataFrame({"_part": blocks["_part"], "_before": before})
+
+    # one row per block of the chunk table
+    entering = ends.withColumn("_all", F.lit(True)).groupBy("_all").applyInPandas(carry, "_part long, _before double")
+    folded = inside.join(entering, "_part").select(
+        chunk, (F.col("_weight") * F.col("_before") + F.col("_value")).alias("_ema"))
     state = running(medians.join(folded, chunk, "left"), chunk, lasts={"ema": "_ema"}, block_rows=_EMA_BLOCK)
     after = state.select(chunk, "median", "ema")
     shifted = after.select((F.col(chunk) + 1).alias(chunk), F.col("ema").alias("ema_before"))

@@ -106,6 +106,16 @@ def small_side(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def join_null_safe(df: DataFrame, side: DataFrame, keys, how: str = "left") -> DataFrame:
+    """Join on ``keys`` where NULL matches NULL, keeping the key columns of ``df``."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    renamed = side.select(*[F.col(c).alias(f"_side_{c}") if c in keys else F.col(c) for c in side.columns])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_side_{k}"))
+    return df.join(renamed, same, how).drop(*[f"_side_{k}" for k in keys])
+
+
 def exact_percentiles(df: DataFrame, group, value: str, probabilities: dict, max_distinct: int = 1_000_000,
                       weight: str | None = None) -> DataFrame:
     """Exact percentiles (linear interpolation) of ``value`` per group, for groups of any size.
@@ -125,8 +135,8 @@ def exact_percentiles(df: DataFrame, group, value: str, probabilities: dict, max
     placed = running(positions(counts, [*group, "_v"], "_pos"), "_pos", sums={"_upto": "_n"})
     if group:
         # the last running total of a group closes it; its first row starts at that total minus the group's size
-        placed = placed.join(
-            small_side(placed.groupBy(*group).agg(F.max("_upto").alias("_end"), F.sum("_n").alias("_total"))), group)
+        ends = placed.groupBy(*group).agg(F.max("_upto").alias("_end"), F.sum("_n").alias("_total"))
+        placed = join_null_safe(placed, small_side(ends), group, "inner")
     else:
         total = counts.agg(F.sum("_n")).scalar()
         placed = placed.withColumn("_end", total).withColumn("_total", total)

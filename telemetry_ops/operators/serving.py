@@ -57,14 +57,15 @@ def _range(column: str):
     return f"(`{column}` * 0.8D)", f"(`{column}` * 1.2D)"
 
 
-def latest_rows(df: DataFrame, cfg: FeatureConfig, n: int = _BUFFER) -> DataFrame:
-    """The last ``n`` rows per key; the rank limit runs before the shuffle, so long histories are not moved."""
+def latest_rows(df: DataFrame, cfg: FeatureConfig, n: int | None = None) -> DataFrame:
+    """The last ``n`` rows per key (by default as many as the widest feature reads); the rank limit runs before the shuffle, so long histories are not moved."""
+    n = n or max(_BUFFER, cfg.back + 1)
     newest = Window.partitionBy(cfg.key).orderBy(F.desc(cfg.time), F.desc(cfg.rid))
     return df.withColumn("_age", F.row_number().over(newest)).where(F.col("_age") <= n)
 
 
 def latest_features(df: DataFrame, cfg: FeatureConfig | None = None, cold_start: bool = True) -> DataFrame:
-    """One row per machine from at most its 36 latest rows; ``n_history`` is how many there were.
+    """One row per machine from its latest rows, 36 or as many as the widest feature reads; ``n_history`` is how many there were.
 
     With ``cold_start`` fewer than six rows give assumed deviations, and too short a history assumed lags and wear
     rate; a deviation that cannot be computed is 0. Torque stress uses a fixed limit.

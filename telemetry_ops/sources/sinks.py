@@ -32,7 +32,8 @@ def write_features(df: DataFrame, path: str, key: str = "machine_id", mode: str
 
 
 def alert_records(df: DataFrame, created_at, model_version: str = "1.0", threshold_used: str | None = None) -> DataFrame:
-    """Alert rows from diagnosed rows. The id is a hash of machine and time, so writing a row twice gives one id."""
+    """Alert rows from diagnosed rows. The id is a hash of machine, time and payload, so writing a row twice gives
+    one id, and two predictions of one machine at one time have two."""
     raw = F.to_json(F.struct(*[F.col(c) for c in df.columns if c not in (
         "report_md", "summary", "contributions", "top_contributors", "feature_group_impacts", "immediate_actions",
         "monitoring_focus")]))
@@ -41,7 +42,7 @@ def alert_records(df: DataFrame, created_at, model_version: str = "1.0", thresho
             c["feature"].alias("feature"), c["value"].alias("value"), c["contribution"].alias("shap_value"),
             c["direction"].alias("direction"))).alias("top_contributors"), "feature_group_impacts"))
     return df.select(
-        F.xxhash64(F.col("machine_id"), F.col("timestamp").cast("string")).alias("id"), "machine_id", "timestamp",
+        F.xxhash64(F.col("machine_id"), F.col("timestamp").cast("string"), raw).alias("id"), "machine_id", "timestamp",
         F.col("failure_probability").alias("failure_prob"), "risk_level",
         F.col("primary_failure_mode").alias("root_cause"), "confidence", "report_md", raw.alias("raw_data"),
         shap.alias("shap_values"), F.lit(False).alias("acknowledged"),

@@ -19,7 +19,6 @@ from telemetry_ops.operators.scan import exact_percentiles
 from telemetry_ops.operators.quality import bounds_bit, is_outside, missing_bit
 
 WATERMARK = "10 minutes"
-_ROWS_KEPT = 36
 
 
 def stream_source(spark: SparkSession, path: str, schema: T.StructType, kind: str = "parquet",
@@ -120,7 +119,7 @@ def stream_features(df: DataFrame, cfg: FeatureConfig | None = None) -> DataFram
         table = table.append_column("_one", pa.array(np.zeros(len(both), "int64")))
         table = table.append_column("_pos", pa.array(np.arange(len(both))))
         out = history(table).to_pandas()
-        tail = filled.tail(_ROWS_KEPT).astype(object)
+        tail = filled.tail(cfg.back + 1).astype(object)
         state.update((tail.where(tail.notna(), None).to_numpy().tolist(),))
         rows = new.reset_index(drop=True).copy()
         fresh = out.iloc[n_old:].reset_index(drop=True)
