@@ -2,11 +2,10 @@
 
 Components become whole numbers, floor(1024 * x). Candidates are cut into blocks; a block holds one list per dimension,
 sorted by component. For a query the lists are read from the end its sign asks for, some entries of every list at a
-time. Each vector seen has a lower and an upper bound: the products read so far, plus the least and the most its unread
-dimensions can add (the far end and the reading position of their lists). Reading stops when neither an unseen vector
-nor, among the seen, one whose upper bound is under the k-th lower bound can still qualify; the final scores of the few
-that remain are then resolved. A block starts from the k-th score of the blocks before it in its task, so most blocks
-are left after a short read.
+time. Each vector has a lower and an upper bound: the products read so far, plus the least and the most its unread
+dimensions can add (the far end and the reading position of their lists). Reading stops when no unseen vector can reach
+the k-th lower bound; the final scores of those whose upper bound reaches it are then resolved. The lists of a block
+are read one part after another, and each part starts from the k-th score of those before it.
 
 Queries and candidates both come in blocks; a task holds one block of each, and each pair gives at most k rows per
 query. Nothing is broadcast, and equal vectors need no care beyond ties, which go to the smaller id.
@@ -27,44 +26,45 @@ K = 10
 EVERY = 100
 BLOCK_ROWS = 8192  # candidates of a block
 QUERY_ROWS = 256  # queries of a block
+LIST_ROWS = 2048  # candidates of a block that are sorted together
 
 
 class SortedLists:
-    """A block of whole-number vectors as one sorted list per dimension."""
+    """Whole-number vectors as one sorted list per dimension. Products are added as doubles, exactly below 2 ** 53."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
+        self.ids, self.vectors = ids, vectors.astype(float)
         self.order = np.argsort(vectors, axis=0, kind="stable")  # ascending
-        self.values = np.take_along_axis(vectors, self.order, axis=0)
+        self.values = np.take_along_axis(self.vectors, self.order, axis=0)
 
     def top(self, query: np.ndarray, query_id: int, k: int, floor: float) -> list[tuple[int, int]]:
-        """Up to ``k`` (score, id) of the best candidates; those under ``floor`` may be left out."""
-        n, dims = self.vectors.shape
+        """Up to ``k`` (score, id) of the best candidates; those that score less than ``floor`` may be left out."""
+        n = len(self.ids)
         used = np.flatnonzero(query)
         q = query[used].astype(float)
         down = q > 0  # read from the largest value
         least = q * np.where(down, self.values[0, used], self.values[-1, used])
-        partial, unread = np.zeros(n), np.ones((n, len(used)), bool)
+        partial, unread = np.zeros(n), np.ones((n, len(used)))
         alive = self.ids != query_id
-        depth, step = 0, max(64, n // 32)
+        depth, step = 0, max(32, n // 8)
         while depth < n and len(used):
             upto = min(n, depth + step)
-            rows = np.where(down, n - 1 - np.arange(depth, upto)[:, None], np.arange(depth, upto)[:, None])
+            place = np.arange(depth, upto)[:, None]
+            rows = np.where(down, n - 1 - place, place)
             read = self.order[rows, used]
             gain = self.values[rows, used] * q
             partial += np.bincount(read.ravel(), gain.ravel(), n)
-            unread[read, np.arange(len(used))] = False
-            depth, step = upto, step * 2
+            unread[read, np.arange(len(used))] = 0.0
+            depth = upto
             frontier = gain[-1]
-            upper = partial + unread @ frontier
-            lower = partial + unread @ least
+            rest = unread @ np.stack((frontier, least), axis=1)
             if alive.sum() > k:
-                floor = max(floor, np.partition(lower[alive], -k)[-k])
-            alive &= upper >= floor  # an unseen vector's bound is that of all dimensions unread
-            if frontier.sum() < floor or alive.sum() <= max(k, n // 64):
+                floor = max(floor, np.partition((partial + rest[:, 1])[alive], -k)[-k])
+            if frontier.sum() < floor:  # no vector that is still unseen can qualify
+                alive &= partial + rest[:, 0] >= floor
                 break
         at = np.flatnonzero(alive)
-        scores = self.vectors[at] @ query
+        scores = self.vectors[at] @ query.astype(float)
         best = np.lexsort((self.ids[at], -scores))[:k]
         return [(int(scores[i]), int(self.ids[at[i]])) for i in best]
 
@@ -79,16 +79,21 @@ def whole_vectors(vectors: DataFrame, key: str, vector: str, scale: int = SCALE)
 
 
 def _pair(ids_c, vectors_c, ids_q, vectors_q, k):
+    """The best of a block of candidates for every query of a block, list rows after list rows."""
     out = []
     sizes = np.array([len(v) for v in vectors_c])
     for width in sorted({len(v) for v in vectors_q}):
         at = np.flatnonzero(sizes == width)
-        if not len(at):
-            continue
-        lists = SortedLists(ids_c[at], np.array([vectors_c[i] for i in at], np.int64).reshape(len(at), width))
-        for query_id, v in zip(ids_q, vectors_q):
-            if len(v) == width:
-                out += [(int(query_id), i, s) for s, i in lists.top(np.asarray(v, np.int64), query_id, k, -np.inf)]
+        asked = [(int(i), np.asarray(v, np.int64)) for i, v in zip(ids_q, vectors_q) if len(v) == width]
+        best: list[list] = [[] for _ in asked]
+        for a in range(0, len(at), LIST_ROWS):
+            part = at[a:a + LIST_ROWS]
+            lists = SortedLists(ids_c[part], np.array([vectors_c[i] for i in part], np.int64).reshape(len(part), width))
+            for n, (query_id, v) in enumerate(asked):
+                floor = best[n][-1][0] if len(best[n]) == k else -np.inf
+                found = best[n] + lists.top(v, query_id, k, floor)
+                best[n] = sorted(found, key=lambda x: (-x[0], x[1]))[:k]
+        out += [(query_id, i, s) for (query_id, _), found in zip(asked, best) for s, i in found]
     return out
 
 
