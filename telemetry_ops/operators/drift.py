@@ -53,15 +53,18 @@ def shares(bins: int, epsilon: float) -> Column:
 
 
 def baseline(df: DataFrame, columns, bins: int = 10, epsilon: float = 1e-6) -> DataFrame:
-    """Edges and smoothed proportions per column: (column, edges, proportions). One row per configured column."""
+    """Edges and smoothed proportions per column: (column, edges, proportions). One row per configured column.
+
+    Both are NULL for a column without values, and so is its stability index.
+    """
     columns = [c for c in columns if c in df.columns]
     spans = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).agg(
         *[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in columns])
-    ranges = spans.unpivot([], columns, "column", "span").where("span.lo IS NOT NULL").select(
+    ranges = spans.unpivot([], columns, "column", "span").select(
         "column", edges(F.col("span.lo"), F.col("span.hi"), bins).alias("edges"))
     counts = _bin_counts(df, [], columns, ranges, bins)
     return counts.join(F.broadcast(ranges), "column").select(
-        "column", "edges", shares(bins, epsilon).alias("proportions"))
+        "column", "edges", F.when(F.col("edges").isNotNull(), shares(bins, epsilon)).alias("proportions"))
 
 
 def psi_value(actual: Column, expected: Column) -> Column:
@@ -80,7 +83,7 @@ def psi(df: DataFrame, chunk: str, base: DataFrame, columns, bins: int = 10, eps
     counts = _bin_counts(df, [chunk], columns, base.select("column", "edges"), bins)
     score = F.bround(psi_value(shares(bins, epsilon), F.col("proportions")), 6)
     if baseline_chunk is not None:
-        score = F.when(F.col(chunk) == baseline_chunk, F.lit(0.0)).otherwise(score)
+        score = F.when((F.col(chunk) == baseline_chunk) & F.col("proportions").isNotNull(), F.lit(0.0)).otherwise(score)
     return counts.join(base, "column").select(chunk, "column", score.alias("psi"))
 
 
@@ -103,8 +106,9 @@ def psi_halves(df: DataFrame, columns, is_current: Column, bins: int = 10, epsil
 
 
 def drift_status(scores: DataFrame, threshold: float = 0.2) -> DataFrame:
-    """Status band (below 0.1 OK, below 0.2 MONITOR, else DRIFT!) and the strict retrain signal."""
-    return scores.select("*", band(F.col("psi"), [(0.2, "DRIFT!"), (0.1, "MONITOR")], "OK").alias("status"),
+    """Status band (below 0.1 OK, below 0.2 MONITOR, else DRIFT!) and the strict retrain signal; NULL without an index."""
+    status = F.when(F.col("psi").isNotNull(), band(F.col("psi"), [(0.2, "DRIFT!"), (0.1, "MONITOR")], "OK"))
+    return scores.select("*", status.alias("status"),
                          (F.col("psi") > threshold).alias("retrain"))
 
 

@@ -11,19 +11,38 @@ from telemetry_ops.functions import lcg
 def parse_requests(df: DataFrame, column: str = "request") -> DataFrame:
     """Nested request texts to flat columns; text that is not JSON gives NULL fields and so is rejected later.
 
+    Numbers may be given as text. What is no number (NaN included) becomes NULL, and its name goes to ``wrong_types``.
+
     The parsed value goes through a generator, which keeps Catalyst from copying the parse into every later check.
     """
-    parsed = df.select("*", F.inline(F.array(F.from_json(column, REQUEST_SCHEMA))))
-    return parsed.select(*df.columns, "system.*", "application.*")
+    as_text = T.StructType([T.StructField(part.name, T.StructType(
+        [T.StructField(f.name, T.StringType()) for f in part.dataType])) for part in REQUEST_SCHEMA])
+    parsed = df.select("*", F.inline(F.array(F.from_json(column, as_text))))
+    fields = [(part.name, f) for part in REQUEST_SCHEMA for f in part.dataType]
+
+    def read(part, field):
+        if isinstance(field.dataType, T.StringType):
+            return F.col(part)[field.name]
+        return F.nanvl(F.col(part)[field.name].try_cast(field.dataType), F.lit(None).cast(field.dataType))
+
+    wrong = [F.when(F.col(part)[f.name].isNotNull() & read(part, f).isNull(), F.lit(f.name)) for part, f in fields]
+    return parsed.select(*df.columns, *[read(part, f).alias(f.name) for part, f in fields],
+                         F.array_compact(F.array(*wrong)).alias("wrong_types"))
 
 
-def violations(rules: dict) -> Column:
-    """Array of reasons why a row breaks the rules; empty when it is valid."""
+def violations(rules: dict, wrong_types: str | None = None) -> Column:
+    """Array of reasons why a row breaks the rules; empty when it is valid.
+
+    ``wrong_types`` names a column that lists the fields whose value could not be read.
+    """
     reasons = []
     for name, rule in rules.items():
         value = F.col(name)
+        wrong = F.array_contains(wrong_types, name) if wrong_types else F.lit(False)
+        if wrong_types:
+            reasons.append(F.when(wrong, F.lit(f"{name}: wrong type")))
         if rule.required:
-            reasons.append(F.when(value.isNull(), F.lit(f"{name}: missing")))
+            reasons.append(F.when(value.isNull() & ~wrong, F.lit(f"{name}: missing")))
         if rule.low is not None:
             reasons.append(F.when(value < rule.low, F.lit(f"{name}: below {rule.low:g}")))
         if rule.high is not None:
@@ -32,7 +51,8 @@ def violations(rules: dict) -> Column:
 
 
 def with_violations(df: DataFrame, rules: dict | None = None) -> DataFrame:
-    return df.withColumn("violations", violations(rules or {**REQUEST_SYSTEM, **REQUEST_APPLICATION}))
+    return df.withColumn("violations", violations(rules or {**REQUEST_SYSTEM, **REQUEST_APPLICATION},
+                                                  "wrong_types" if "wrong_types" in df.columns else None))
 
 
 def validate_rows(df: DataFrame, rules: dict | None = None):

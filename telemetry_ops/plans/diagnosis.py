@@ -135,6 +135,17 @@ def _valid(spark, d):
     return rounded(valid.select("event_id", "machine_id", "air_temperature_K", "torque_Nm", "cpu_utilization_pct"))
 
 
+def _types(spark, d):
+    """Requests whose tool wear is no number, not a number, a number as text, or absent."""
+    wear = "CASE k % 4 WHEN 0 THEN '\"abc\"' WHEN 1 THEN 'NaN' WHEN 2 THEN '\"12.5\"' ELSE 'null' END"
+    start = ('{"system": {"machine_id": "M1", "air_temperature_K": 300, "process_temperature_K": 310, '
+             '"rotational_speed_rpm": 1500, "torque_Nm": "40.5", "tool_wear_min": ')
+    df = t.base(spark, d).select("event_id", F.concat(F.lit(start), F.expr(wear), F.lit("}, \"application\": {}}"))
+                                 .alias("request"))
+    return va.with_violations(va.parse_requests(df)).select(
+        "event_id", "torque_Nm", "tool_wear_min", F.array_join("violations", "; ").alias("violations"))
+
+
 def _defaults(spark, d):
     df = t.base(spark, d).selectExpr("event_id", "CASE WHEN k % 7 = 0 THEN NULL WHEN k % 7 = 1 THEN 0e0 "
                                      "ELSE value END AS network_latency_ms")
@@ -309,6 +320,10 @@ QUERIES = {
         "coalesce(nullif(CASE WHEN has THEN trim(regexp_extract(answer, '```json\\s*([\\s\\S]*?)\\s*```([\\s\\S]*)', 2), "
         "E' \\t\\n\\r') ELSE regexp_extract(answer, '(#{1,3}\\s+[\\s\\S]*)', 1) END, ''), f_report) AS parsed_report FROM j",
         "fx_base", a=f"SELECT event_id, {_ANSWER}, {', '.join(_FALLBACK)} FROM fx_base", j0=_JSON, j=_J)),
+    "request_types": (_types, sql(
+        "SELECT event_id, 40.5::DOUBLE AS torque_Nm, CASE WHEN k % 4 = 2 THEN 12.5::DOUBLE END AS tool_wear_min, "
+        "CASE WHEN k % 4 < 2 THEN 'tool_wear_min: wrong type' WHEN k % 4 = 3 THEN 'tool_wear_min: missing' ELSE '' "
+        "END AS violations FROM fx_base", "fx_base")),
     "request_rejects": (_rejects, sql("SELECT event_id, violations FROM checked WHERE violations <> ''", "fx_base",
                                       req=_REQ, checked=_CHECKED)),
     "request_valid": (_valid, sql(

@@ -38,7 +38,7 @@ def _best_points(spark, d):
 
 
 def _optimum(spark, d):
-    return rounded(e.cost_optimum(e.cost_sweep(_curve(spark, d))))
+    return rounded(e.cost_optimum(e.cost_sweep(_curve(spark, d), points=None)))
 
 
 def _confusion(spark, d):
@@ -75,8 +75,8 @@ _C = {
          "2 * (tp::DOUBLE / (tp + fp)) * (tp::DOUBLE / p) / (tp::DOUBLE / (tp + fp) + tp::DOUBLE / p + 1e-8) AS f1 "
          "FROM c0",
 }
-_SWEEP = ("SELECT *, fp * 500 + fn * 5000 AS cost, (tp + fn) * 5000 - (fp * 500 + fn * 5000) AS savings FROM c "
-          "WHERE rank % greatest(k // 50, 1) = 0")
+_COSTS = "SELECT *, fp * 500 + fn * 5000 AS cost, (tp + fn) * 5000 - (fp * 500 + fn * 5000) AS savings FROM c"
+_SWEEP = _COSTS + " WHERE rank % greatest(k // 50, 1) = 0"
 
 
 def _modes(precision, recall):
@@ -115,7 +115,7 @@ QUERIES = {
         f"SELECT rank, {_POINT}, {r('threshold', 'precision', 'recall')} FROM s ORDER BY savings DESC, rank LIMIT 5",
         "fx_scores", **_C, s=_SWEEP)),
     "cost_optimum": (_optimum, sql(
-        f"SELECT {_POINT}, {r('threshold')} FROM s ORDER BY savings DESC, rank LIMIT 1", "fx_scores", **_C, s=_SWEEP)),
+        f"SELECT {_POINT}, {r('threshold')} FROM s ORDER BY savings DESC, rank LIMIT 1", "fx_scores", **_C, s=_COSTS)),
     "confusion_matrix": (_confusion, sql(
         "SELECT tp, fp, fn, tn, round(fp * 100.0::DOUBLE / (fp + tn), 6) AS fp_rate_pct, "
         "round(tp * 100.0::DOUBLE / (tp + fn), 6) AS recall_pct, "
@@ -138,5 +138,5 @@ QUERIES = {
         "o.savings::BIGINT AS net_savings, "
         "(SELECT round(fp * 100.0::DOUBLE / (fp + tn), 6) FROM m WHERE mode = 'balanced') AS fp_rate_pct, "
         "round(o.savings * 365::DOUBLE / 35, 6) AS annual_savings FROM "
-        "(SELECT * FROM s ORDER BY savings DESC, rank LIMIT 1) o", "fx_scores", **_C, m=_modes(0.9, 0.95), s=_SWEEP)),
+        "(SELECT * FROM s ORDER BY savings DESC, rank LIMIT 1) o", "fx_scores", **_C, m=_modes(0.9, 0.95), s=_COSTS)),
 }

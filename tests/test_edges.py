@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from telemetry_ops.config import FeatureConfig
-from telemetry_ops.operators import alerts, anomaly, quality, scan, serving
+from telemetry_ops.operators import alerts, anomaly, drift, evaluate, quality, scan, serving, validate
 
 _START = datetime(2024, 1, 1)
 
@@ -60,3 +60,35 @@ def test_serving_history_follows_the_windows(spark):
     cfg = FeatureConfig(windows=(72,))
     df = _series(spark, ["a"], 100)
     assert serving.latest_rows(df, cfg).count() == 72
+
+
+def test_requests_of_wrong_type(spark):
+    fixed = ('"machine_id": "M1", "air_temperature_K": 300, "process_temperature_K": 310, "rotational_speed_rpm": 1500')
+    more = ['"torque_Nm": "40.5", "tool_wear_min": 5', '"torque_Nm": 40, "tool_wear_min": NaN',
+            '"torque_Nm": 40, "tool_wear_min": 5, "vibration_mm_s": "abc"', '"torque_Nm": 40, "tool_wear_min": {}']
+    df = spark.createDataFrame([(i, f'{{"system": {{{fixed}, {m}}}}}') for i, m in enumerate(more)] + [(9, "no JSON")],
+                               "i int, request string")
+    valid, rejects = validate.validate_rows(validate.parse_requests(df))
+    assert [(r["i"], r["torque_Nm"]) for r in valid.collect()] == [(0, 40.5)]
+    reasons = {r["i"]: r["violations"] for r in rejects.collect()}
+    assert reasons.pop(9)[0] == "machine_id: missing"
+    assert reasons == {1: ["tool_wear_min: wrong type"], 2: ["vibration_mm_s: wrong type"],
+                       3: ["tool_wear_min: wrong type"]}
+
+
+def test_drift_keeps_a_column_without_values(spark):
+    df = spark.range(20).selectExpr("id % 2 AS chunk", "double(id) AS a", "IF(id % 2 = 0, NULL, double(id)) AS b")
+    base = drift.baseline(df.where("chunk = 0"), ["a", "b"])
+    scores = drift.drift_status(drift.psi(df, "chunk", base, ["a", "b"], baseline_chunk=0))
+    got = {(r["chunk"], r["column"]): (r["psi"], r["status"]) for r in scores.collect()}
+    assert got[0, "b"] == got[1, "b"] == (None, None)
+    assert got[0, "a"] == (0.0, "OK") and got[1, "a"][0] is not None
+
+
+def test_cost_optimum_looks_at_every_threshold(spark):
+    # of 200 thresholds only the 102nd separates the classes; a sweep of every fourth steps over it
+    df = spark.range(200).selectExpr("id / 200e0 AS score", "int(id >= 101) AS y")
+    curve = evaluate.pr_curve(df, "score", "y")
+    best = evaluate.cost_optimum(evaluate.cost_sweep(curve, points=None)).first()
+    assert (best["tp"], best["fp"], best["fn"]) == (99, 0, 0)
+    assert evaluate.cost_optimum(evaluate.cost_sweep(curve)).first()["cost"] > 0
