@@ -3,13 +3,13 @@
 Words are runs of characters other than ASCII white space. The base rule rejects documents of fewer than 10 words, or
 with more than a fifth of their words inside repeated 5-word windows.
 
-The method: every line is normalised (A-Z lower-cased, white space collapsed) and hashed; per host, the documents that
-hold it are counted; lines in more than ``max_docs`` documents are removed, and a document is rejected as depleted if
-removal leaves fewer than ``min_words`` words or less than ``min_share`` of its words. Copies of one document count as
-one: a document is told apart by its main line, the line in the middle of its words when its lines are ordered by how
-many documents of the host hold them. For documents with text of their own that is a line nobody else has; for exact
-and near copies it is one of the few lines they share. So boilerplate is found, and a group of copies is not mistaken
-for it. A line in few documents cannot exceed the limit, so main lines are found only where a line might.
+The method: every line is normalised (A-Z lower-cased, white space collapsed) and hashed; per host, the distinct documents
+that hold it are counted; lines in more than ``max_docs`` of them are removed, and a document is rejected as depleted if
+removal leaves fewer than ``min_words`` words or less than ``min_share`` of its words. Documents with the same set of
+lines are copies and count as one, however short their own text. So do near copies: documents with the same shared lines
+whose other lines hold fewer than ``min_words`` words and at most ``NEAR_SHARE`` of all. Documents with more text of
+their own are told apart by it, so pages that are mostly a menu lose it and may be depleted. A line in few documents cannot exceed the limit,
+so documents are compared only where a line might.
 
 A null or empty text has no words and fails the base rule. A null host is a host of its own. Repeated rows are copies.
 Other columns are ignored (or carried, by ``clean``) whatever their names. An empty table gives no rows.
@@ -22,12 +22,13 @@ from collections import Counter
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from telemetry_ops.llm.common import map_texts, with_row_ids
+from telemetry_ops.llm.common import map_texts, with_row_ids, written
 
 SYMBOLS = "#*$%&|<>"
 MAX_DOCS = 10  # documents of a host that may share a line
 MIN_WORDS = 10
 MIN_SHARE = 0.3
+NEAR_SHARE = 0.2  # own words of a near copy, at most; it also has fewer than the least words
 WINDOW = 5
 
 _FIELDS = [("n_words", T.LongType()), ("word_chars", T.LongType()), ("n_symbols", T.LongType()),
@@ -81,21 +82,14 @@ def _counted(docs: DataFrame, text: str, keys: list[str]) -> DataFrame:
     return map_texts(docs, text, keys, _FIELDS, make)
 
 
-def _main_lines(lines: DataFrame, frequent: DataFrame) -> DataFrame:
-    """(doc, main) of the documents in ``lines`` (doc, host, line, words); ``frequent`` has the counts above one."""
-    counted = lines.join(frequent.withColumnRenamed("host", "_h").withColumnRenamed("line", "_l"),
-                         F.col("host").eqNullSafe(F.col("_h")) & (F.col("line") == F.col("_l")), "left")
-    ordered = counted.groupBy("doc").agg(
-        F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "line", "words"))).alias("all"),
-        F.sum("words").alias("total"))
-    start = F.struct(F.lit(0).cast("long").alias("upto"), F.lit(None).cast("long").alias("main"))
-
-    def step(acc, x):
-        upto = acc["upto"] + x["words"]
-        return F.struct(upto.alias("upto"), F.when(acc["main"].isNotNull(), acc["main"])
-                        .when(2 * upto >= F.col("total"), x["line"]).alias("main"))
-
-    return ordered.select("doc", F.aggregate("all", start, step)["main"].alias("main"))
+def _identities(held: DataFrame, min_words: int) -> DataFrame:
+    """(doc, identity) from (doc, line, words, n_words, whole): equal for copies, and for near copies."""
+    shared = held.groupBy("doc", "n_words", "whole").agg(
+        F.sum("words").alias("words"), F.xxhash64(F.sort_array(F.collect_list("line"))).alias("lines"))
+    own = F.col("n_words") - F.col("words")
+    near = (own < min_words) & (own <= NEAR_SHARE * F.col("n_words"))
+    return shared.select("doc", F.struct(near.alias("near"), F.when(near, F.col("lines")).otherwise(F.col("whole"))
+                                         .alias("of")).alias("identity"))
 
 
 def judged(source: DataFrame, max_docs: int, min_words: int, min_share: float) -> DataFrame:
@@ -103,14 +97,17 @@ def judged(source: DataFrame, max_docs: int, min_words: int, min_share: float) -
     table = with_row_ids(_counted(source, "text", ["row", "host"]), "doc", "quality")
     lines = table.select("doc", "host", F.explode(F.arrays_zip("lines", "line_words")).alias("x")).select(
         "doc", "host", F.col("x.lines").alias("line"), F.col("x.line_words").alias("words"))
-    frequent = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    suspect = frequent.where(F.col("n") > max_docs).select(F.col("host").alias("_h"), F.col("line").alias("_l"))
     same = F.col("host").eqNullSafe(F.col("_h")) & (F.col("line") == F.col("_l"))
-    held = lines.join(suspect, same, "left_semi")
-    main = _main_lines(lines.join(held.select("doc").distinct(), "doc", "left_semi"), frequent)
-    shared = (held.join(main, "doc").select("host", "line", "main").distinct()
-              .groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_docs)
-              .select(F.col("host").alias("_h"), F.col("line").alias("_l")))
+
+    def frequent(counted: DataFrame, n) -> DataFrame:
+        return (counted.groupBy("host", "line").agg(n.alias("n")).where(F.col("n") > max_docs)
+                .select(F.col("host").alias("_h"), F.col("line").alias("_l")))
+
+    held = lines.join(frequent(lines, F.count(F.lit(1))), same, "left_semi").join(
+        table.select("doc", "n_words", F.xxhash64(F.sort_array("lines")).alias("whole")), "doc")
+    held = written(held, "held")
+    held = held.join(frequent(held, F.countDistinct("whole")), same, "left_semi")
+    shared = frequent(held.join(_identities(held, min_words), "doc"), F.countDistinct("identity"))
     removed = (held.join(shared, same, "left_semi").groupBy("doc")
                .agg(F.sum("words").alias("removed_words"), F.collect_list("line").alias("removed")))
     left = F.col("n_words") - F.col("removed_words")

@@ -98,6 +98,18 @@ def test_shared_lines_go_but_copies_stay(spark):
     assert quality_rules.clean(df).where("text LIKE '%shared by all%'").count() == 0
 
 
+def test_pages_mostly_of_shared_lines_are_depleted(spark):
+    menu = "\n".join(" ".join(f"{k}{j}" for j in range(11)) for k in "abc")
+    stubs = [(i, menu + "\n" + " ".join(f"w{i}x{j}" for j in range(12)), "h") for i in range(40)]
+    copies = [(100 + i, menu + "\n" + " ".join(f"w{j}" for j in range(12)), "g") for i in range(40)]
+    few = [(200 + i, stubs[i][1], "f") for i in range(10)]
+    df = spark.createDataFrame(stubs + copies + few, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in quality_rules.quality_rules(df).collect()}
+    assert all(not got[i]["kept"] and got[i]["n_removed_words"] == 33 for i in range(40))
+    assert all(got[i]["kept"] and got[i]["n_removed_words"] == 0 for i in [*range(100, 140), *range(200, 210)])
+    assert {r["doc_id"] for r in quality_rules.clean(df).collect()} == {*range(100, 140), *range(200, 210)}
+
+
 def _brute_components(values):
     parent = {v: v for v in values}
 
