@@ -13,6 +13,11 @@ as many comparisons as it has members.
 Texts: A-Z lower-cased, words are runs of characters other than ASCII white space, 4-word shingles with repeats joined
 by spaces (fewer words: all of them; none: fingerprint zero). A null text is empty. A null id never names a component
 unless all its ids are null. Repeated rows are copies. Other columns are ignored or carried, whatever their names.
+
+``deduplicate`` links texts by the Jaccard similarity of their sets of 5-word shingles, 0.8 or more, since texts that
+similar may differ in ten of 64 bits. Candidates agree on one of 20 bands of five minima of the set (MinHash), and are
+verified on the whole sets; a pair at just 0.8 is missed with a probability of 0.04 %, a closer one with less. Equal
+sets are one node. In each bucket all are compared with one pivot, then only members of different classes.
 """
 
 from __future__ import annotations
@@ -30,19 +35,31 @@ MAX_BITS = 4
 SEGMENTS = ((0, 21), (21, 21), (42, 22))  # (lowest bit, width): one differs in at most MAX_BITS // 3 = 1 bit
 SMALL_BUCKET = 64  # members of a bucket whose pairs are all compared
 PIVOT_ROUNDS = 1  # in larger buckets
+SET_SHINGLE = 5
+SIMILARITY = 0.8
+BANDS, BAND_ROWS = 20, 5
+_DRAWS = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * BAND_ROWS, 1), np.uint64)
 
 
-def fingerprint(text: bytes, width: int = SHINGLE, seed: int = SEED) -> int:
-    """Unsigned 64-bit SimHash of one text."""
+def shingle_hashes(text: bytes, width: int, seed: int = SEED) -> np.ndarray:
+    """Hashes of the shingles of one text, with repeats."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(1, len(words) - width + 1)
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], seed) for a, b in zip(starts[:n].tolist(), ends[-n:].tolist())], np.uint64)
+    return np.array([digest(joined[a:b], seed) for a, b in zip(starts[:n].tolist(), ends[-n:].tolist())], np.uint64)
+
+
+def fingerprint(text: bytes, width: int = SHINGLE, seed: int = SEED) -> int:
+    """Unsigned 64-bit SimHash of one text."""
+    hashes = shingle_hashes(text, width, seed)
+    n = len(hashes)
+    if not n:
+        return 0
     ones = np.zeros(64, np.int64)
     for i in range(0, n, 1 << 16):
         part = hashes[i:i + (1 << 16)].view(np.uint8).reshape(-1, 8)
@@ -160,12 +177,87 @@ def _component_ids(table: DataFrame) -> DataFrame:
     return named.select("fp", "label").join(ids, "label")
 
 
-def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One document of each component, the one with the least id (of several, the first row), with all columns."""
+def shingle_set(text: bytes, width: int = SET_SHINGLE) -> np.ndarray:
+    return np.unique(shingle_hashes(text, width))
+
+
+def bands(values: np.ndarray) -> list[int]:
+    """Signed hashes of the bands of minima of a set; none of an empty set."""
+    if not len(values):
+        return []
+    odd, add = _DRAWS[0] | np.uint64(1), _DRAWS[1]
+    least = np.full(len(odd), (1 << 64) - 1, np.uint64)
+    for i in range(0, len(values), 1 << 12):
+        np.minimum(least, (values[None, i:i + (1 << 12)] * odd + add).min(1), out=least)
+    rows = least.reshape(BANDS, BAND_ROWS)
+    return [_signed(xxhash.xxh64_intdigest(row.tobytes(), n)) for n, row in enumerate(rows)]
+
+
+def _sketched(docs: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """``keys``, ``node`` (hash of the text's shingle set), ``size`` (of the set) and ``bands``."""
+    def sketch(text):
+        values = shingle_set(text, width)
+        return _signed(xxhash.xxh64_intdigest(values.tobytes(), SEED)), len(values), bands(values)
+
+    def make():
+        return lambda texts: dict(zip(("node", "size", "bands"), zip(*map(sketch, texts))))
+
+    return map_texts(docs, "t", keys, [("node", T.LongType()), ("size", T.LongType()),
+                                       ("bands", T.ArrayType(T.LongType()))], make)
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets are as similar as asked; ``texts`` has (node, t), one row a node."""
+    def make():
+        return lambda part: {"set": [shingle_set(x, width).view(np.int64) for x in part]}
+
+    pairs = written(pairs.distinct(), "pairs")
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = written(map_texts(texts.join(asked, "node", "left_semi"), "t", ["node"], [("set", T.ArrayType(T.LongType()))],
+                             make), "sets")
+    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    return both.where(common >= similarity * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+
+
+def similar_classes(table: DataFrame, width: int = SET_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, label) of nodes with links, from (n, t, node, size, bands) with unique row ids ``n``."""
+    one = written(table.groupBy("node").agg(F.min("n").alias("n")), "nodes")
+    texts = table.select("n", "t").join(one, "n").select("node", "t")
+    index = table.join(one.select("n"), "n", "left_semi").select("node", "size", F.explode("bands").alias("key"))
+    tasks = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = index.repartition(tasks, "key")  # one shuffle serves both sides
+    pivots = index.groupBy("key").agg(F.min(F.struct("node", "size")).alias("p"), F.max("node").alias("last")).where(
+        "p.node < last").select("key", F.col("p.node").alias("pivot"), F.col("p.size").alias("pivot_size"))
+    members = written(index.join(pivots, "key"), "buckets")
+
+    def alike(x, y):
+        return F.least(x, y) >= similarity * F.greatest(x, y)
+
+    pairs = members.where((F.col("node") != F.col("pivot")) & alike("size", "pivot_size"))
+    labels = written(components(_similar(pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")), texts, width,
+                                         similarity)), "classes")
+    named = members.select("key", "node", "size").join(labels, "node", "left").withColumn(
+        "label", F.coalesce("label", "node"))
+    main = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
+        F.max(F.struct("n", "label"))["label"].alias("main"), F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    named = written(named.join(main, "key"), "members")
+    a, b = (named.select("key", F.col("node").alias(x), F.col("size").alias(f"size_{x}"), F.col("label").alias(f"label_{x}"),
+                         (F.col("label") == F.col("main")).alias(f"main_{x}")) for x in "ab")
+    more = a.where("NOT main_a").join(b, "key").where(
+        (F.col("label_a") != F.col("label_b")) & (F.col("main_b") | (F.col("a") < F.col("b"))) & alike("size_a", "size_b"))
+    pairs = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return _merged(labels, _similar(pairs, texts, width, similarity))
+
+
+def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = SET_SHINGLE,
+                similarity: float = SIMILARITY) -> DataFrame:
+    """One document of each component of similar texts, the one with the least id (of several, the first row), with all
+    columns."""
     source = docs.select(F.struct("*").alias("row"), F.col(text).alias("t"), F.col(key).alias("k"))
-    table = with_row_ids(fingerprints(source, "t", ["row", "k"]), "n", "simhash")
-    slim = table.select("n", "k", "fp")
-    first = (slim.join(_component_ids(slim).select("fp", "label"), "fp").groupBy("label")
+    table = with_row_ids(_sketched(source, ["row", "k"], width), "n", "minhash")
+    labels = similar_classes(table.withColumn("t", F.col("row").getField(text)), width, similarity)
+    first = (table.select("n", "k", "node").join(labels, "node", "left").groupBy(F.coalesce("label", "node").alias("label"))
              .agg(F.min(F.struct(F.col("k").isNull().alias("no_id"), "k", "n"))["n"].alias("n")))
     return table.join(first.select("n"), "n", "left_semi").select(
         *[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -158,6 +158,29 @@ def test_fingerprint_by_definition():
         assert simhash_dedup.fingerprint(text.encode()) == want
 
 
+def test_similar_texts_are_found_whatever_their_bits(spark):
+    rng = random.Random(5)
+    rows, sets = [], {}
+    for g in range(30):
+        base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+        for j in range(4):
+            words = base[:]
+            for _ in range(j * 2):
+                words[rng.randrange(200)] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+            sets[rows[-1][0]] = {tuple(words[i:i + 5]) for i in range(196)}
+    label = {a: a for a in sets}
+    for a in sets:
+        for b in range(4 * (a // 4), a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                old, new = sorted((label[a], label[b]))[::-1]
+                label = {k: new if v == old else v for k, v in label.items()}
+    want = {k for k, v in label.items() if k == v}
+    assert 30 < len(want) < 120
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash_dedup.deduplicate(df).collect()} == want
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     got = {r["node"]: r["label"] for r in graph.components(edges).collect()}
