@@ -5,7 +5,9 @@ widths run over the words of the whole text, each keeps its maximum, and a logis
 Adam on labelled rows outside the held-out fold: at most ``SAMPLE`` rows, half of them toxic where there are enough,
 picked by a hash of the id. This bound is a parameter; scoring reads every text.
 
-Thresholds are calibrated by language on training rows kept out of the fit. The language is guessed from function words
+Thresholds are calibrated by language on all labelled rows of the training folds that are not fitted on, scored by Spark
+and counted by language, label and log-odds in steps of 1/64. The fit prefers toxic rows, so the counts of each label are weighed up to all
+its rows. The language is guessed from function words
 of the text itself, so that no column but the text is an input of a score; log-odds are shifted by the language's
 threshold so that a score of 0.7 or more always means toxic. A language with few examples uses the common threshold,
 and even odds if there are few examples in all.
@@ -22,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from telemetry_ops.llm.common import fold, map_texts
+from telemetry_ops.llm.common import by_size, fold, map_texts
 
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 3, 1
@@ -40,6 +42,7 @@ RATE = 0.02
 SPREAD = 0.02  # of the first embeddings: a word never trained on adds next to nothing
 LEAST_PER_LANGUAGE = 20  # toxic rows needed for a threshold of its own
 CACHED_WORDS = 150_000
+STEPS = 64  # of log-odds, in which rows are counted for thresholds
 # fixed values: frequent function words that tell the languages apart
 FUNCTION_WORDS = {
     "en": "the of and to in that is for it was with as by are this".split(),
@@ -122,7 +125,8 @@ class Scorer:
         self.index: dict[bytes, int] = {}
         self.table = np.zeros((1, sum(WIDTHS) * FILTERS), np.float32)  # row 0: the empty word
 
-    def scores(self, texts: list[bytes]) -> list[float]:
+    def odds(self, texts: list[bytes]) -> tuple[np.ndarray, list[int]]:
+        """Log-odds before the shift, and the languages."""
         if len(self.index) > CACHED_WORDS:
             self._forget()
         cut = [words_of(t) for t in texts]
@@ -138,7 +142,11 @@ class Scorer:
             ids[start:start + len(words)] = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         m = self.model
         hidden = np.maximum(_pooled(self.table, ids, starts) + m.bias, 0)
-        odds = hidden @ m.weight + m.offset + m.shift[[language(w) for w in cut]]
+        return hidden @ m.weight + m.offset, [language(w) for w in cut]
+
+    def scores(self, texts: list[bytes]) -> list[float]:
+        odds, spoken = self.odds(texts)
+        odds = odds + self.model.shift[spoken]
         return (1 / (1 + np.exp(-np.clip(odds, -30, 30)))).tolist()
 
 
@@ -149,6 +157,14 @@ def _constant(p: float) -> Model:
                  np.zeros(len(WIDTHS) * FILTERS), np.zeros(len(WIDTHS) * FILTERS), odds, np.zeros(len(LANGUAGES)))
 
 
+def _kept_out(y: np.ndarray) -> np.ndarray:
+    """Every fifth row, or none if that leaves a side without rows of both labels."""
+    kept_out = np.arange(len(y)) % 5 == 4
+    if len(set(y[~kept_out])) < 2 or len(set(y[kept_out])) < 2:
+        kept_out[:] = False
+    return kept_out
+
+
 def fit(texts: list[bytes], labels: list[int], seed: int = 7) -> Model:
     """Train on rows; every fifth is kept out of the fit to choose thresholds."""
     y = np.array(labels, float)
@@ -162,9 +178,7 @@ def fit(texts: list[bytes], labels: list[int], seed: int = 7) -> Model:
     flat = np.array([f for fs in feats for f in fs], np.int64)
     first = np.concatenate(([0], np.cumsum(sizes)))
     rng = np.random.default_rng(seed)
-    kept_out = np.arange(len(y)) % 5 == 4
-    if len(set(y[~kept_out])) < 2 or len(set(y[kept_out])) < 2:
-        kept_out[:] = False
+    kept_out = _kept_out(y)
     model = Model(rng.normal(0, SPREAD, (BUCKETS, DIMS)),
                   [rng.normal(0, 0.5 / np.sqrt(w), (w, DIMS, FILTERS)) for w in WIDTHS],
                   np.zeros(len(WIDTHS) * FILTERS), rng.normal(0, 0.3, len(WIDTHS) * FILTERS), 0.0,
@@ -243,28 +257,68 @@ def fit(texts: list[bytes], labels: list[int], seed: int = 7) -> Model:
     raw = np.concatenate([scorer.scores([texts[i] for i in held[a:a + 512]]) for a in range(0, len(held), 512)])
     odds = _logit(np.clip(raw, 1e-12, 1 - 1e-12))
     spoken = np.array([language(cut[i]) for i in held])
-    common = _threshold(odds, y[held]) if y[held].sum() >= LEAST_PER_LANGUAGE else 0.0
+    model.shift = _shifts(odds, spoken, y[held], 1 - y[held], y[held])
+    return model
+
+
+def _shifts(odds: np.ndarray, spoken: np.ndarray, toxic: np.ndarray, clean_: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Shifts by language from weighed counts of toxic and clean rows at each of ``odds``; ``rows`` counts toxic ones."""
+    common = _threshold(odds, toxic, clean_) if rows.sum() >= LEAST_PER_LANGUAGE else 0.0
+    out = np.zeros(len(LANGUAGES))
     for n in range(len(LANGUAGES)):
         own = spoken == n
-        enough = y[held][own].sum() >= LEAST_PER_LANGUAGE
-        model.shift[n] = _logit(THRESHOLD) - (_threshold(odds[own], y[held][own]) if enough else common)
-    return model
+        enough = rows[own].sum() >= LEAST_PER_LANGUAGE
+        out[n] = _logit(THRESHOLD) - (_threshold(odds[own], toxic[own], clean_[own]) if enough else common)
+    return out
 
 
-def _threshold(odds: np.ndarray, y: np.ndarray) -> float:
-    """The log-odds between two neighbouring rows that give the best F1, in the middle of the widest best gap."""
-    order = np.argsort(-odds, kind="stable")
-    odds, hits = odds[order], np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+def _threshold(odds: np.ndarray, toxic: np.ndarray, clean_: np.ndarray) -> float:
+    """The log-odds between two neighbouring values that give the best F1, in the middle of the widest best gap."""
+    values, at = np.unique(-odds, return_inverse=True)
+    odds = -values
+    toxic, clean_ = np.bincount(at, toxic), np.bincount(at, clean_)
+    f1 = 2 * np.cumsum(toxic) / (np.cumsum(toxic + clean_) + toxic.sum())
     next_ = np.append(odds[1:], odds[-1] - 2.0)
     best = np.flatnonzero(f1 >= f1.max() - 1e-12)
     i = best[np.argmax(odds[best] - next_[best])]
     return float((odds[i] + next_[i]) / 2)
 
 
+def _calibrated(model: Model, docs: DataFrame, marked: DataFrame, rows: list, text: str, key: str) -> Model:
+    """``model`` with thresholds from all labelled rows (k, y) but those of ``rows`` it was fitted on."""
+    y = np.array([r["y"] for r in rows])
+    if len(set(y.tolist())) < 2:
+        return model
+    kept_out = _kept_out(y)
+    fitted = [(r["k"],) for r, out in zip(rows, kept_out) if not out]
+    spark, kind = docs.sparkSession, T.StructType([marked.schema["k"]])
+    rest = by_size(marked.join(F.broadcast(spark.createDataFrame(fitted, kind)), "k", "left_anti").select("k", "y"))
+    source = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(rest, "k")
+
+    def make():
+        scorer = Scorer(model)
+
+        def work(texts):
+            odds, spoken = scorer.odds(texts)
+            return {"step": np.floor(np.clip(odds, -30, 30) * STEPS).astype(np.int64), "spoken": spoken}
+        return work
+
+    steps = map_texts(source, "t", ["k", "y"], [("step", T.LongType()), ("spoken", T.LongType())], make)
+    once = steps.groupBy("k", "y").agg(F.min(F.struct("step", "spoken")).alias("x"))
+    counts = once.groupBy("y", "x.step", "x.spoken").agg(F.count(F.lit(1)).alias("n")).collect()  # steps x languages x 2
+    label, step, spoken, n = np.array([tuple(r) for r in counts], np.int64).reshape(-1, 4).T
+    if len(set(label.tolist())) < 2:
+        return model  # as calibrated on the sample
+    weight = [1 + (y[~kept_out] == v).sum() / n[label == v].sum() for v in (0, 1)]
+    toxic = np.where(label == 1, n, 0)
+    model.shift = _shifts((step + 0.5) / STEPS, spoken, toxic * weight[1], np.where(label == 0, n, 0) * weight[0], toxic)
+    return model
+
+
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic",
           sample: int = SAMPLE) -> Model:
-    """Fit on at most ``sample`` labelled rows outside the held-out fold, half of them toxic where there are enough."""
+    """Fit on at most ``sample`` labelled rows outside the held-out fold, half of them toxic where there are enough;
+    thresholds are from all others."""
     marked = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(
         F.max(label).cast("int").alias("y"))
     marked = marked.where(fold(F.col("k"), FOLDS) != HELD_OUT).withColumn("h", F.xxhash64("k"))
@@ -274,7 +328,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     rows = (docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"))
             .join(F.broadcast(picked), "k").groupBy("h", "k", "y").agg(F.min("t").alias("t")).collect())  # at most ``sample``
     rows.sort(key=lambda r: (r["h"], r["k"]))
-    return fit([bytes(r["t"]) for r in rows], [r["y"] for r in rows])
+    model = fit([bytes(r["t"]) for r in rows], [r["y"] for r in rows])
+    return _calibrated(model, docs, marked, rows, text, key)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keys: list[str] | None = None) -> DataFrame:

@@ -259,6 +259,26 @@ def _brute_spans(text):
     return ",".join(s for _, _, s in sorted(out))
 
 
+def test_toxicity_thresholds_are_from_all_labelled_rows(spark):
+    rng = random.Random(8)
+    words = {"en": "the of and to".split(), "fr": "le les et des".split()}
+    rows = []
+    for i in range(6000):
+        bad = i % 10 == 0
+        tongue = "fr" if i // 10 % 5 == 0 else "en"
+        text = [rng.choice(words[tongue]) for _ in range(12)] + [f"n{rng.randrange(300)}" for _ in range(8)]
+        text += ["vile" if rng.random() < (0.8 if bad else 0.1) else "kind" for _ in range(2)]
+        rows.append((i, " ".join(text), int(bad)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(df.drop("toxic"), df.drop("text"), sample=200)
+    shift = dict(zip(toxicity.LANGUAGES, model.shift))
+    assert shift["de"] == shift["es"] != shift["fr"]  # French has enough toxic rows in the table, not in the sample
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(df, model).collect()}
+    hits = sum(got[i] >= toxicity.THRESHOLD for i, _, bad in rows if bad)
+    wrong = sum(got[i] >= toxicity.THRESHOLD for i, _, bad in rows if not bad)
+    assert hits > 200 and wrong < 600
+
+
 def test_secrets_against_brute_force(spark):
     rng = random.Random(6)
     parts = ["token", "API_KEY", "api-key", "secret", " ", "=", ":", '"', "abcdef12", "AKIA", "A" * 18, "0123456789abcdef",
