@@ -8,7 +8,8 @@ No task builds a whole output. Each row becomes pieces of whole units, up to ``C
 keyed by document and output position. ``repartitionAndSortWithinPartitions`` brings a document's pieces together in
 order, and they run one by one through an incremental digest. For the check, the output stream alone (and the form) is
 parsed for its marks; the parts found are sorted again within their partition by place in the text (the partitioning is
-known, so nothing is shuffled) and digested too. Sorting spills to disk; a task keeps one piece of one document.
+known, so nothing is shuffled) and digested too. Partitions are as many as the counted bytes of text need; sorting spills to
+disk, and a task keeps one piece of one document.
 
 A document's key is a digest of id and text, with the number of the input partition: equal rows of one partition share
 pieces and are counted, equal rows of other partitions go to other tasks, so a group of copies of any size is dealt
@@ -30,7 +31,7 @@ SHARE = 100
 SPM_SHARE = 50
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 CHUNK = 8192  # code points of a piece, at most
-PARTS_PER_SPLIT = 2  # partitions of pieces for each partition of the input
+PART_BYTES = 32 << 20  # of text in a partition of pieces, about; longer texts have one of their own
 
 # order of marks in the output, with the place of what follows in the text
 _LAYOUT = {"psm": ((PREFIX, 0), (SUFFIX, 2), (MIDDLE, 1)), "spm": ((SUFFIX, 2), (PREFIX, 0), (MIDDLE, 1))}
@@ -184,7 +185,8 @@ def fill_in_middle(docs: DataFrame, text: str = "text", key: str = "doc_id", see
                    spm_share: int = SPM_SHARE, chunk: int = CHUNK) -> DataFrame:
     """Per document: ``key``, units ``n``, ``form``, ``prefix_chars``, ``middle_chars``, digests of output and restored text."""
     rows = docs.select(F.col(key), F.col(text).cast("string")).rdd
-    parts = max(PARTS_PER_SPLIT * rows.getNumPartitions(), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    held = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-held // PART_BYTES))
     pieces = rows.mapPartitionsWithIndex(lambda split, part: _pieces(split, part, seed, share, spm_share, chunk))
     placed = pieces.repartitionAndSortWithinPartitions(parts, _partition)
     ordered = placed.mapPartitions(_digested, preservesPartitioning=True).repartitionAndSortWithinPartitions(
