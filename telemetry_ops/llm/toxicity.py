@@ -12,7 +12,8 @@ of the text itself, so that no column but the text is an input of a score; log-o
 threshold so that a score of 0.7 or more always means toxic. A language with few examples uses the common threshold,
 and even odds if there are few examples in all.
 
-A null or empty text gets the score of no words. Without labels of both kinds every score is the base rate of the
+A text's score depends on that text alone: windows end with it, and places beyond it count as empty words. A null or empty
+text gets the score of no words; a very long one is scored whole. An empty table gives no rows. Without labels of both kinds every score is the base rate of the
 labels (0 without any). Repeated rows get equal scores; other columns are ignored or carried.
 """
 
@@ -101,14 +102,29 @@ def _logit(p):
     return np.log(p) - np.log1p(-p)
 
 
+def _windows(ids: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """For each place of a window, the word there for every start; ``ids`` has a run of empty words after every document.
+
+    A window that starts on an empty word holds nothing else, so none reaches into the next document.
+    """
+    blank = np.zeros(len(ids), bool)
+    ends = np.append(starts[1:], len(ids))
+    for k in range(1, max(WIDTHS)):
+        blank[ends - k] = True
+    out = [ids]
+    for j in range(1, max(WIDTHS)):
+        out.append(np.where(blank, 0, np.append(ids[j:], np.zeros(j, ids.dtype))))
+    return out
+
+
 def _pooled(projected: np.ndarray, ids: np.ndarray, starts: np.ndarray):
     """Maxima of every filter over each document; ``ids`` has a run of empty words after every document."""
-    out, column = [], 0
+    out, column, words = [], 0, _windows(ids, starts)
     for width in WIDTHS:
         total = projected[ids, column:column + FILTERS].copy()
         for j in range(1, width):
             column += FILTERS
-            total[:-j] += projected[ids[j:], column:column + FILTERS]
+            total += projected[words[j], column:column + FILTERS]
         column += FILTERS
         out.append(np.maximum.reduceat(total, starts, axis=0))
     return np.concatenate(out, axis=1)
@@ -209,13 +225,14 @@ def fit(texts: list[bytes], labels: list[int], seed: int = 7) -> Model:
             ids = np.concatenate([docs[i] for i in rows])
             lengths = np.array([len(docs[i]) for i in rows])
             starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-            distinct, inverse = np.unique(ids, return_inverse=True)
+            distinct = np.unique(ids)  # holds the empty word
+            words = [np.searchsorted(distinct, x) for x in _windows(ids, starts)]
             vecs, buckets, owner = vectors(distinct)
             maxima, where = [], []
             for w in WIDTHS:
                 total = np.zeros((len(ids), FILTERS))
                 for j in range(w):
-                    total[:len(ids) - j] += (vecs @ params[f"k{w}"][j])[inverse[j:]]
+                    total += (vecs @ params[f"k{w}"][j])[words[j]]
                 top = np.maximum.reduceat(total, starts, axis=0)
                 spot = np.stack([total[s:s + n].argmax(0) + s for s, n in zip(starts, lengths)])
                 maxima.append(top)
@@ -233,11 +250,9 @@ def fit(texts: list[bytes], labels: list[int], seed: int = 7) -> Model:
                 kernel = params[f"k{w}"]
                 grad = np.zeros_like(kernel)
                 for j in range(w):
-                    word = inverse[np.minimum(where[n] + j, len(ids) - 1)]
-                    live = (where[n] + j < len(ids))
-                    g = part * live
-                    grad[j] = np.einsum("bf,bfd->df", g, vecs[word])
-                    np.add.at(d_vec, word.ravel(), (g[:, :, None] * kernel[j].T[None]).reshape(-1, DIMS))
+                    word = words[j][where[n]]
+                    grad[j] = np.einsum("bf,bfd->df", part, vecs[word])
+                    np.add.at(d_vec, word.ravel(), (part[:, :, None] * kernel[j].T[None]).reshape(-1, DIMS))
                 grads[f"k{w}"] = grad
             touched = np.abs(d_vec).sum(1) > 0
             use = touched[owner]

@@ -250,6 +250,30 @@ def test_toxicity_on_held_out_rows():
     assert right >= 190 and all(0 <= s <= 1 for s in scores)
 
 
+def test_toxicity_of_a_text_does_not_depend_on_its_neighbours():
+    rng = random.Random(6)
+    texts = [b" ".join(rng.choice([b"a", b"b", b"c d", b"vileness", b"kind"]) for _ in range(rng.randint(0, 4)))
+             for _ in range(300)] + [b"", b"vileness", b"", b"vileness x y"]
+    model = toxicity.fit(texts, [int(b"vileness" in t) for t in texts])
+    scorer = toxicity.Scorer(model)
+    alone = [scorer.scores([t])[0] for t in texts]
+    assert max(alone) - min(alone) > 0.5
+    for size in (2, 7, len(texts)):
+        together = [x for a in range(0, len(texts), size) for x in scorer.scores(texts[a:a + size])]
+        assert np.allclose(together, alone, rtol=0, atol=1e-6)
+    assert np.allclose(scorer.scores(texts[::-1])[::-1], alone, rtol=0, atol=1e-6)
+    # by definition: every filter's best window, places after the text are empty words
+    vector = lambda w: model.embed[toxicity.features(w)].sum(0)
+    for text, got in zip(texts[-40:], alone[-40:]):
+        words, pooled = toxicity.words_of(text), []
+        for width, kernel in zip(toxicity.WIDTHS, model.kernel):
+            windows = [sum(vector(w) @ kernel[j] for j, w in enumerate(words[i:i + width])) for i in range(len(words))]
+            pooled.append(np.max([*windows, np.zeros(toxicity.FILTERS)], axis=0))
+        odds = np.maximum(np.concatenate(pooled) + model.bias, 0) @ model.weight + model.offset
+        odds += model.shift[toxicity.language(words)]
+        assert abs(1 / (1 + np.exp(-odds)) - got) < 1e-4
+
+
 def _brute_spans(text):
     out = []
     for n, rule in enumerate(secret_scan.RULES):
