@@ -6,10 +6,9 @@ with more than a fifth of their words inside repeated 5-word windows.
 The method: every line is normalised (A-Z lower-cased, white space collapsed) and hashed; per host, the distinct documents
 that hold it are counted; lines in more than ``max_docs`` of them are removed, and a document is rejected as depleted if
 removal leaves fewer than ``min_words`` words or less than ``min_share`` of its words. Documents with the same set of
-lines are copies and count as one, however short their own text. So do near copies: documents with the same shared lines
-whose other lines hold fewer than ``min_words`` words and at most ``NEAR_SHARE`` of all. Documents with more text of
-their own are told apart by it, so pages that are mostly a menu lose it and may be depleted. A line in few documents cannot exceed the limit,
-so documents are compared only where a line might.
+lines are copies and count as one. Near copies are documents of their own: pages that are mostly a menu lose it and may be
+depleted, however little else they hold. A line in few documents cannot exceed the limit, so documents are told apart only where
+a line might.
 
 A null or empty text has no words and fails the base rule. A null host is a host of its own. Repeated rows are copies.
 Other columns are ignored (or carried, by ``clean``) whatever their names. An empty table gives no rows.
@@ -28,7 +27,6 @@ SYMBOLS = "#*$%&|<>"
 MAX_DOCS = 10  # documents of a host that may share a line
 MIN_WORDS = 10
 MIN_SHARE = 0.3
-NEAR_SHARE = 0.2  # own words of a near copy, at most; it also has fewer than the least words
 WINDOW = 5
 
 _FIELDS = [("n_words", T.LongType()), ("word_chars", T.LongType()), ("n_symbols", T.LongType()),
@@ -82,16 +80,6 @@ def _counted(docs: DataFrame, text: str, keys: list[str]) -> DataFrame:
     return map_texts(docs, text, keys, _FIELDS, make)
 
 
-def _identities(held: DataFrame, min_words: int) -> DataFrame:
-    """(doc, identity) from (doc, line, words, n_words, whole): equal for copies, and for near copies."""
-    shared = held.groupBy("doc", "n_words", "whole").agg(
-        F.sum("words").alias("words"), F.xxhash64(F.sort_array(F.collect_list("line"))).alias("lines"))
-    own = F.col("n_words") - F.col("words")
-    near = (own < min_words) & (own <= NEAR_SHARE * F.col("n_words"))
-    return shared.select("doc", F.struct(near.alias("near"), F.when(near, F.col("lines")).otherwise(F.col("whole"))
-                                         .alias("of")).alias("identity"))
-
-
 def judged(source: DataFrame, max_docs: int, min_words: int, min_share: float) -> DataFrame:
     """``row``, the counts, ``base_failed``, ``kept`` and ``removed`` (hashes of removed lines) from (row, text, host)."""
     table = with_row_ids(_counted(source, "text", ["row", "host"]), "doc", "quality")
@@ -104,11 +92,9 @@ def judged(source: DataFrame, max_docs: int, min_words: int, min_share: float) -
                 .select(F.col("host").alias("_h"), F.col("line").alias("_l")))
 
     held = lines.join(frequent(lines, F.count(F.lit(1))), same, "left_semi").join(
-        table.select("doc", "n_words", F.xxhash64(F.sort_array("lines")).alias("whole")), "doc")
+        table.select("doc", F.xxhash64(F.sort_array("lines")).alias("whole")), "doc")
     held = written(held, "held")
-    held = held.join(frequent(held, F.countDistinct("whole")), same, "left_semi")
-    shared = frequent(held.join(_identities(held, min_words), "doc"), F.countDistinct("identity"))
-    removed = (held.join(shared, same, "left_semi").groupBy("doc")
+    removed = (held.join(frequent(held, F.countDistinct("whole")), same, "left_semi").groupBy("doc")
                .agg(F.sum("words").alias("removed_words"), F.collect_list("line").alias("removed")))
     left = F.col("n_words") - F.col("removed_words")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
@@ -133,7 +119,7 @@ def clean(docs: DataFrame, text: str = "text", host: str = "source", n_chars: st
     source = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.col(host).alias("host"))
     out = judged(source, max_docs, min_words, min_share).where("kept")
 
-    @F.udf(T.StringType())
+    @F.udf(T.StringType(), useArrow=True)
     def without(value, hashes):
         if not hashes:
             return value
