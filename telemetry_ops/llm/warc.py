@@ -7,7 +7,8 @@ date, and carry digests of their own blocks; ids are derived from the response's
 task gives the same records. ``render`` gives the bytes of a record, ``write`` files that any WARC reader takes.
 
 Null or empty pages give empty payloads and still two records; a null address is empty. Repeated rows give repeated
-records. Other columns are ignored, an empty table gives no records.
+records. Pages are read in time proportional to their length, broken ones too. Other columns are ignored, whatever their names; an
+empty table gives no records.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import hashlib
 import html as entities
 import re
 import uuid
+from bisect import bisect_left
 from urllib.parse import urljoin
 
 import pyarrow as pa
@@ -28,15 +30,16 @@ DATE = "2024-01-01T00:00:00Z"  # pages carry no date
 VERSION = "WARC/1.1"
 _SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:warc:records")
 
-_HIDDEN = r"<(script|style|noscript|template)\b[^>]*>.*?</\1\s*>"
-_MARKUP = re.compile(rf"<!--.*?-->|{_HIDDEN}|<title\b[^>]*>.*?</title\s*>"
-                     r"""|<[!/?a-z](?:[^"'>]|"[^"]*"|'[^']*')*>""", re.I | re.S)
+_TAG = re.compile(r"<[!/?a-z]", re.I)
+_OPENS = re.compile(r"<(script|style|noscript|template|title)\b", re.I)
+_CLOSES = re.compile(r"</(script|style|noscript|template|title)\s*>", re.I)
 _BLOCK = re.compile(r"</?(?:address|article|aside|blockquote|body|br|div|dd|dl|dt|fieldset|figure|footer|form|h[1-6]"
                     r"|head|header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|th|thead|tr|ul)\b", re.I)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.I | re.S)
-_LANG = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z-]+)""", re.I)
-_CHARSET = re.compile(r"""<meta\b[^>]*?\bcharset\s*=\s*["']?([A-Za-z0-9_-]+)""", re.I)
-_LINK = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
+_HTML, _META, _ANCHOR = (re.compile(rf"<{name}\b", re.I) for name in ("html", "meta", "a"))
+_LANG = re.compile(r"""\blang\s*=\s*["']?([A-Za-z-]+)""", re.I)
+_CHARSET = re.compile(r"""\bcharset\s*=\s*["']?([A-Za-z0-9_-]+)""", re.I)
+_HREF = re.compile(r"\bhref\s*=\s*", re.I)
+_BARE = re.compile(r"""[^\s>"']+""")
 _BLANKS = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r" ?\n[ \n]*")
 
@@ -49,10 +52,111 @@ def record_id(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(_SPACE, chr(0).join(parts))}>"
 
 
+class Page:
+    """Markup of one page, found in one pass forward.
+
+    Where marks end is known before any tag is looked at: places of ``>`` and quotes are listed once, the end of a tag from each
+    of them is filled in from the back, and so are closing tags by name. So broken markup, whose ends are missing, costs
+    no second search.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.marks = [m.start() for m in re.finditer("[\"'>]", page)]
+        self.ends = [-1] * (len(self.marks) + 1)  # the end of a tag that comes to this mark outside quotes, or -1
+        following = {}
+        for k in range(len(self.marks) - 1, -1, -1):
+            kind = page[self.marks[k]]
+            if kind == ">":
+                self.ends[k] = self.marks[k] + 1
+            elif kind in following:
+                self.ends[k] = self.ends[following[kind] + 1]
+            following[kind] = k
+        self.angles = [m for m in self.marks if page[m] == ">"]
+        self.closes: dict[str, list] = {}
+        for m in _CLOSES.finditer(page):
+            self.closes.setdefault(m[1].casefold(), []).append(m.span())
+        self.comments = [m.start() for m in re.finditer("-->", page)]
+
+    def angle(self, at: int) -> int:
+        """The first ``>`` from a place on; -1 if there is none."""
+        k = bisect_left(self.angles, at)
+        return self.angles[k] if k < len(self.angles) else -1
+
+    def element(self, opened: re.Match) -> tuple[int, int, int] | None:
+        """Start and end of the content of an element that hides it, and the end of its closing tag."""
+        start, closes = self.angle(opened.end()) + 1, self.closes.get(opened[1].casefold(), [])
+        k = bisect_left(closes, (start,))
+        return (start, *closes[k]) if start and k < len(closes) else None
+
+    def end(self, at: int) -> int:
+        """The end of the comment, hidden element or tag that starts at a ``<``; -1 if none does."""
+        if self.page.startswith("<!--", at):
+            k = bisect_left(self.comments, at + 4)
+            if k < len(self.comments):
+                return self.comments[k] + 3
+        opened = _OPENS.match(self.page, at)
+        found = opened and self.element(opened)
+        if found:
+            return found[2]
+        return self.ends[bisect_left(self.marks, at + 2)] if _TAG.match(self.page, at) else -1
+
+    def text(self) -> str:
+        page, out, done = self.page, [], 0
+        at = page.find("<")
+        while at >= 0:
+            end = self.end(at)
+            if end < 0:
+                at = page.find("<", at + 1)
+                continue
+            out.append(page[done:at])
+            if _BLOCK.match(page, at):
+                out.append("\n")
+            done, at = end, page.find("<", end)
+        out.append(page[done:])
+        return "".join(out)
+
+    def title(self) -> str | None:
+        for opened in _OPENS.finditer(self.page):
+            if opened[1].casefold() == "title":
+                found = self.element(opened)
+                return found and self.page[found[0]:found[1]]  # without an end here no later title has one
+        return None
+
+    def attribute(self, tag: re.Pattern, pattern: re.Pattern) -> str | None:
+        """The value in the first tag that has one; a tag's attributes end at ``>`` or with the page."""
+        at = 0
+        while opened := tag.search(self.page, at):
+            at = self.angle(opened.end())
+            at = len(self.page) if at < 0 else at
+            if found := pattern.search(self.page, opened.end(), at):
+                return found[1]
+        return None
+
+    def links(self) -> list[str]:
+        page, out, at = self.page, [], 0
+        last = {q: page.rfind(q) for q in "\"'"}
+        while found := _ANCHOR.search(page, at):
+            stop = self.angle(found.end())
+            at = stop = len(page) if stop < 0 else stop
+            for name in _HREF.finditer(page, found.end(), stop):
+                value = name.end()
+                quote = page[value:value + 1]
+                if quote in last and quote:
+                    if last[quote] > value:
+                        at = page.index(quote, value + 1) + 1
+                        out.append(page[value + 1:at - 1])
+                        break
+                elif bare := _BARE.match(page, value):
+                    at = bare.end()
+                    out.append(bare[0])
+                    break
+        return out
+
+
 def plain_text(page: str) -> str:
     """Visible text: one line per block, white space collapsed, entities resolved; no scripts, styles, comments, title."""
-    text = _MARKUP.sub(lambda m: "\n" if _BLOCK.match(m[0]) else "", page)
-    text = _LINES.sub("\n", _BLANKS.sub(" ", entities.unescape(text)))
+    text = _LINES.sub("\n", _BLANKS.sub(" ", entities.unescape(Page(page).text())))
     return text.strip()
 
 
@@ -62,13 +166,11 @@ def _one_line(value: str) -> str:
 
 def page_fields(page: str, target: str) -> list[tuple[str, str]]:
     """Metadata fields read from a page."""
-    out = []
-    for name, pattern in (("title", _TITLE), ("language", _LANG), ("charset", _CHARSET)):
-        found = pattern.search(page)
-        if found:
-            out.append((name, _one_line(found[1])))
-    for groups in _LINK.findall(page):
-        link = _one_line(next((g for g in groups if g), ""))
+    marked = Page(page)
+    found = (("title", marked.title()), ("language", marked.attribute(_HTML, _LANG)),
+             ("charset", marked.attribute(_META, _CHARSET)))
+    out = [(name, _one_line(value)) for name, value in found if value is not None]
+    for link in map(_one_line, marked.links()):
         try:
             out.append(("outlink", urljoin(target, link)))
         except ValueError:  # no valid address

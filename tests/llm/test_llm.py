@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -430,6 +431,45 @@ def test_warc_records_round_trip(spark, tmp_path):
     assert found == 6
 
 
+_HIDDEN = r"<(script|style|noscript|template)\b[^>]*>.*?</\1\s*>"
+_MARKUP = re.compile(rf"<!--.*?-->|{_HIDDEN}|<title\b[^>]*>.*?</title\s*>"
+                     r"""|<[!/?a-z](?:[^"'>]|"[^"]*"|'[^']*')*>""", re.I | re.S)
+_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.I | re.S)
+_LANG = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z-]+)""", re.I)
+_CHARSET = re.compile(r"""<meta\b[^>]*?\bcharset\s*=\s*["']?([A-Za-z0-9_-]+)""", re.I)
+_LINK = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
+
+
+def _same_as_patterns(page):
+    """The forward pass against plain (quadratic) patterns that define the markup."""
+    marked = warc.Page(page)
+    assert marked.text() == _MARKUP.sub(lambda m: "\n" if warc._BLOCK.match(m[0]) else "", page), page
+    first = lambda pattern: (m := pattern.search(page)) and m[1]
+    assert marked.title() == first(_TITLE) and marked.attribute(warc._HTML, warc._LANG) == first(_LANG), page
+    assert marked.attribute(warc._META, warc._CHARSET) == first(_CHARSET), page
+    assert marked.links() == [next((g for g in m if g), "") for m in _LINK.findall(page)], page
+
+
+def test_markup_by_patterns(spark, small):
+    rng = random.Random(9)
+    parts = ["<!--", "-->", "<script", "</script", "<title", "</title >", "<a ", "href", "=", '"', "'", ">", "<", "x", " ", "\n",
+             "<p>", "</style>", "<style>", "<html ", "lang", "<meta ", "charset", "utf-8", "</SCRIPT>", "<br/>", "<A HREF=y>"]
+    for _ in range(20_000):
+        _same_as_patterns("".join(rng.choice(parts) for _ in range(rng.randint(0, 14))))
+    for row in spark.read.parquet(f"{small}/pages.parquet").select("html").collect():
+        _same_as_patterns(row[0] or "")
+
+
+@pytest.mark.parametrize("part", ["<!--", "<script>", '<a "', "<title>", "<a href=\"", "<html lang", "<meta charset", "<a href='x",
+                                  "< ", "<p ", "</script ", "<a href=", "\n ", "&amp"])
+def test_broken_pages_take_time_in_proportion(part):
+    page = part * (2_000_000 // len(part))
+    start = time.time()
+    warc.plain_text(page)
+    warc.page_fields(page, "http://a.example/")
+    assert time.time() - start < 6
+
+
 def test_pipeline_stages(spark, docs, tiny):
     import corpus_pipeline
 
