@@ -5,8 +5,8 @@ most one bit of one segment, so they agree on a segment with one bit left out. E
 64 one-wildcard segments; those that share a key are candidates and are verified on all bits.
 
 Equal fingerprints are one node. In buckets of at most ``SMALL_BUCKET`` members all pairs are compared. In larger ones no
-pairs are written out: their members are first compared with one pivot; what is linked so far becomes a class, and
-then only members outside the largest class of their bucket are compared with the members of other classes. Two
+pairs are written out: their members are first compared with one pivot; what is linked so far, in all buckets, becomes
+classes, and then only members outside the largest class of their bucket are compared with the members of other classes. Two
 fingerprints of one class are already connected, so no link between components is lost, while a dense group costs about
 as many comparisons as it has members.
 
@@ -34,7 +34,6 @@ SEED = 42
 MAX_BITS = 4
 SEGMENTS = ((0, 21), (21, 21), (42, 22))  # (lowest bit, width): one differs in at most MAX_BITS // 3 = 1 bit
 SMALL_BUCKET = 64  # members of a bucket whose pairs are all compared
-PIVOT_ROUNDS = 1  # in larger buckets
 SET_SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, BAND_ROWS = 20, 5
@@ -116,47 +115,44 @@ def _links_between(a: DataFrame, b: DataFrame, more: Column) -> DataFrame:
 
 
 def linked_classes(fps: DataFrame) -> DataFrame:
-    """(fp, label) for distinct fingerprints: equal labels mean the same component; single ones label themselves."""
+    """(fp, label) for distinct fingerprints, read several times: equal labels mean the same component; single ones label
+    themselves."""
     tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fps = written(fps.repartition(tasks, "fp"), "fingerprints")
     index = fps.repartition(tasks, "fp").select(F.explode(_index_keys(F.col("fp"))).alias("key"), "fp")
-    large = written(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SMALL_BUCKET)
-                    .select("key"), "large")
+    large = written(index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("pivot"))
+                    .where(F.col("n") > SMALL_BUCKET).select("key", "pivot"), "large")
     small = index.join(large, "key", "left_anti")  # one shuffle serves both sides
     links = _links_between(small.select("key", F.col("fp").alias("a")), small.select("key", F.col("fp").alias("b")),
                            F.col("a") < F.col("b")).select("a", "b")
-    labels = written(components(links), "classes")
-    if not large.isEmpty():
-        labels = _with_large_buckets(written(index.join(large, "key", "left_semi"), "buckets"), labels)
+    if large.isEmpty():
+        labels = components(links)
+    else:
+        members = written(index.join(large, "key"), "buckets")
+        near = members.where((F.col("fp") != F.col("pivot")) & (_bits_apart("fp", "pivot") <= MAX_BITS))
+        labels = components(links.union(near.select("fp", "pivot").distinct()))
+        labels = _between_classes(members.select("key", "fp"), labels)
     return fps.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", F.coalesce("label", "fp").alias("label"))
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """(node, label) after links (a, b) between nodes or labels are added."""
-    return written(components(links.toDF("a", "b").union(labels.select("node", "label"))), "classes")
-
-
-def _with_large_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(node, label) once the links inside large buckets (key, fp) are added to the classes ``labels``."""
-    for round_ in range(PIVOT_ROUNDS + 1):
-        named = members.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
-            "key", "fp", F.coalesce("label", "fp").alias("label"))
-        classes = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("least"))
-        largest = classes.groupBy("key").agg(
-            F.max(F.struct("n", "label"))["label"].alias("main"), F.count(F.lit(1)).alias("classes"),
-            F.min(F.struct("n", "least"))["least"].alias("pivot")).where("classes > 1").drop("classes")
-        named = written(named.join(largest, "key"), "members")  # in the buckets that still hold several classes
-        if round_ < PIVOT_ROUNDS:
-            near = named.where((F.col("fp") != F.col("pivot")) & (_bits_apart("fp", "pivot") <= MAX_BITS))
-            labels = _merged(labels, near.select("fp", "pivot").distinct())
-            members = named.select("key", "fp")
+    return labels if links.isEmpty() else components(links.toDF("a", "b").union(labels.select("node", "label")))
+
+
+def _between_classes(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, label) once all links inside large buckets (key, fp) are added to the classes ``labels``."""
+    named = members.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "key", "fp", F.coalesce("label", "fp").alias("label"))
+    main = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
+        F.max(F.struct("n", "label"))["label"].alias("main"), F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    named = written(named.join(main.drop("classes"), "key"), "members")  # in the buckets that still hold several classes
     a = named.where("label != main").select("key", F.col("fp").alias("a"), F.col("label").alias("la"))
     b = named.select("key", F.col("fp").alias("b"), F.col("label").alias("lb"), (F.col("label") == F.col("main"))
                      .alias("inside"))
     more = _links_between(a, b, (F.col("la") != F.col("lb")) & (F.col("inside") | (F.col("a") < F.col("b"))))
     # a link between classes, once; labels are nodes too
-    return _merged(labels, more.select("la", "lb").distinct())
+    return _merged(labels, written(more.select("la", "lb").distinct(), "between"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -170,7 +166,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 
 def _component_ids(table: DataFrame) -> DataFrame:
     """(fp, label, least) from (k, fp): the least id of each fingerprint's component."""
-    least = table.groupBy("fp").agg(F.min("k").alias("own"))
+    least = written(table.groupBy("fp").agg(F.min("k").alias("own")), "fingerprints")
     labels = written(linked_classes(least.select("fp")), "labels")
     named = least.join(labels, "fp")
     ids = named.groupBy("label").agg(F.min("own").alias("least"))
@@ -235,8 +231,7 @@ def similar_classes(table: DataFrame, width: int = SET_SHINGLE, similarity: floa
         return F.least(x, y) >= similarity * F.greatest(x, y)
 
     pairs = members.where((F.col("node") != F.col("pivot")) & alike("size", "pivot_size"))
-    labels = written(components(_similar(pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")), texts, width,
-                                         similarity)), "classes")
+    labels = components(_similar(pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")), texts, width, similarity))
     named = members.select("key", "node", "size").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
     main = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
@@ -247,7 +242,7 @@ def similar_classes(table: DataFrame, width: int = SET_SHINGLE, similarity: floa
     more = a.where("NOT main_a").join(b, "key").where(
         (F.col("label_a") != F.col("label_b")) & (F.col("main_b") | (F.col("a") < F.col("b"))) & alike("size_a", "size_b"))
     pairs = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return _merged(labels, _similar(pairs, texts, width, similarity))
+    return _merged(labels, written(_similar(pairs, texts, width, similarity), "between"))
 
 
 def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = SET_SHINGLE,

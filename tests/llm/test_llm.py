@@ -222,6 +222,20 @@ def test_components_of_a_path(spark):
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
 
 
+@pytest.mark.parametrize("task_links", [1_000_000, 40])
+def test_components_of_random_links(spark, task_links):
+    rng = random.Random(task_links)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(230)] + [(1000, 1000 + i) for i in range(1, 80)]
+    parent = {x: x for pair in links for x in pair}
+    for _ in range(400):
+        for a, b in links:
+            parent[a] = parent[b] = min(parent[a], parent[b])
+    edges = spark.createDataFrame(links, "a long, b long").repartition(5)
+    got = {r["node"]: r["label"] for r in graph.components(edges, task_links).collect()}
+    assert got == {x: label for x, label in parent.items() if any(x in p and p[0] != p[1] for p in links)}
+    assert graph.components(edges.limit(0)).count() == 0
+
+
 def test_lattice_probability_against_enumeration():
     pieces = (("▁", -3), ("▁a", -1), ("a", -2), ("b", -2), ("ab", -4), ("▁ab", -5), ("ba", -6))
     lattices = lattice_lm.Lattices(pieces)
