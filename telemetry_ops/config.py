@@ -194,7 +194,6 @@ class TrainConfig:
     column_fraction: float = 0.7
     min_leaf_rows: int = 10
     min_gain: float = 0.0
-    tolerance: float = 0.001
 
 
 def _columns(*pairs):

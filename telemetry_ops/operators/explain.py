@@ -7,7 +7,7 @@ attribution for tree ensembles"). They add up, with the base value, to the raw m
 
 from __future__ import annotations
 
-from math import factorial
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,81 +28,131 @@ def tree_table(spark, model):
     return [t.set_index("id") for _, t in nodes.sort_values(["treeID", "id"]).groupby("treeID")]
 
 
-def _leaf_tables(tree, weight):
-    """Per leaf: the features on its path, the interval each must lie in, and contributions per pattern of hits.
-
-    For a leaf with m distinct features there are 2^m patterns of which features send a row its way; the Shapley
-    weights of each pattern are worked out once, so scoring a row only looks them up.
+@dataclass
+class Tree:
+    """One tree as arrays by node; ``left`` is -1 in leaves, ``share`` the part of its parent's rows a node has."""
+
+    left: list
+    right: list
+    feature: list
+    threshold: list
+    share: list
+    value: list
+
+    def leaf_values(self, x: np.ndarray) -> np.ndarray:
+        """What the tree adds to the margin of every row."""
+        left, right, feature, threshold = (np.array(v) for v in (self.left, self.right, self.feature, self.threshold))
+        at = np.zeros(len(x), np.int64)
+        rows = np.flatnonzero(left[at] >= 0)
+        while len(rows):
+            here = at[rows]
+            at[rows] = np.where(x[rows, feature[here]] <= threshold[here], left[here], right[here])
+            rows = rows[left[at[rows]] >= 0]
+        return np.array(self.value)[at]
+
+    def mean(self) -> float:
+        """The value a row is expected to get when nothing is known of it."""
+        def below(node):
+            if self.left[node] < 0:
+                return self.value[node]
+            return sum(self.share[c] * below(c) for c in (self.left[node], self.right[node]))
+        return below(0)
+
+    def depth(self) -> int:
+        def below(node):
+            return 0 if self.left[node] < 0 else 1 + max(below(self.left[node]), below(self.right[node]))
+        return below(0)
+
+
+def as_tree(nodes, weight: float = 1.0) -> Tree:
+    """A tree from a table of Spark ML nodes, indexed by node id."""
+    number = {node: i for i, node in enumerate(nodes.index)}
+    out = Tree(*([] for _ in range(6)))
+    share = {0: 1.0}
+    for node, row in nodes.iterrows():
+        inner = row["leftChild"] >= 0
+        if inner:
+            for child in (row["leftChild"], row["rightChild"]):
+                share[child] = nodes.at[child, "rawCount"] / row["rawCount"]
+        split = row["split"]
+        out.left.append(number[row["leftChild"]] if inner else -1)
+        out.right.append(number[row["rightChild"]] if inner else -1)
+        out.feature.append(split["featureIndex"] if inner else 0)
+        out.threshold.append(split["leftCategoriesOrThreshold"][0] if inner else 0.0)
+        out.value.append(0.0 if inner else row["prediction"] * weight)
+    out.share = [share[node] for node in nodes.index]
+    return out
+
+
+def trees_of(spark, model) -> list[Tree]:
+    """The weighted trees of a fitted boosted-tree model."""
+    return [as_tree(nodes, weight) for nodes, weight in zip(tree_table(spark, model), model.treeWeights)]
+
+
+def _add_tree(tree: Tree, x: np.ndarray, total: np.ndarray) -> None:
+    """Add a tree's contributions to ``total``; the work grows with nodes times depth, not with subsets of features.
+
+    A leaf reached by features with shares z, of which a row meets those with hit = 1, gives feature j
+    value (hit_j - z_j) times the integral over t in [0, 1] of the product over its other features of
+    (t hit + (1 - t) z): the Shapley weights are moments of t. The product is a polynomial, so Gauss-Legendre points,
+    half as many as the tree is deep, integrate it exactly. Going down, a node's product is extended by its feature's factor (one
+    that came earlier on the path is divided out first); going up, the leaf sums of each branch are unwound by that factor.
     """
-    leaves, root = [], 0
-    cover = tree["rawCount"].to_dict()
-
-    def walk(node, conditions, shares):
-        row = tree.loc[node]
-        if row["leftChild"] < 0:
-            leaves.append((conditions, shares, row["prediction"] * weight))
-            return
-        feature, threshold = row["split"]["featureIndex"], row["split"]["leftCategoriesOrThreshold"][0]
-        for child, is_left in ((row["leftChild"], True), (row["rightChild"], False)):
-            low, high = conditions.get(feature, (-np.inf, np.inf))
-            interval = (low, min(high, threshold)) if is_left else (max(low, threshold), high)
-            share = shares.get(feature, 1.0) * cover[child] / cover[node]
-            walk(child, {**conditions, feature: interval}, {**shares, feature: share})
-
-    walk(root, {}, {})
-    out, base = [], 0.0
-    for conditions, shares, value in leaves:
-        features = sorted(conditions)
-        m = len(features)
-        base += value * float(np.prod([shares[f] for f in features])) if m else value
-        if not m:
-            continue
-        hit = (np.arange(2 ** m)[:, None] >> np.arange(m)) & 1
-        z = np.array([shares[f] for f in features])
-        phi = np.zeros((2 ** m, m))
-        for j in range(m):
-            # coefficients by number of present features of prod over the others of (hit t + share)
-            poly = np.zeros((2 ** m, m))
-            poly[:, 0] = 1.0
-            for i in (i for i in range(m) if i != j):
-                poly = poly * z[i] + np.pad(poly, ((0, 0), (1, 0)))[:, :-1] * hit[:, [i]]
-            weights = np.array([factorial(s) * factorial(m - 1 - s) / factorial(m) for s in range(m)])
-            phi[:, j] = value * (hit[:, j] - z[j]) * (poly @ weights)
-        lows = np.array([conditions[f][0] for f in features])
-        highs = np.array([conditions[f][1] for f in features])
-        out.append((np.array(features), lows, highs, phi))
-    return out, base
-
-
-def explainer(spark, model):
-    """(leaf tables of all trees, base value) of a fitted boosted-tree model."""
-    leaves, base = [], 0.0
-    for tree, weight in zip(tree_table(spark, model), model.treeWeights):
-        tables, value = _leaf_tables(tree, weight)
-        leaves += tables
-        base += value
-    return leaves, base
-
-
-def shapley_matrix(leaves, x: np.ndarray) -> np.ndarray:
+    points, weights = np.polynomial.legendre.leggauss(max(1, (tree.depth() + 1) // 2))
+    t, w = (points + 1) / 2, weights / 2
+
+    def factors(z):
+        hit, miss = t + (1 - t) * z, (1 - t) * z
+        return hit, miss, w * (1 - z) / hit, -w / (1 - t)
+
+    def pick(hit, yes, no):
+        return np.where(hit[:, None], yes, no)
+
+    def gained(hit, below, known):
+        return np.where(hit, below @ known[2], below @ known[3])
+
+    def walk(node, product, path):
+        if tree.left[node] < 0:
+            return tree.value[node] * product
+        feature, sums = tree.feature[node], 0.0
+        goes_left = x[:, feature] <= tree.threshold[node]
+        for child, hit in ((tree.left[node], goes_left), (tree.right[node], ~goes_left)):
+            before = path.get(feature)
+            z = tree.share[child]
+            extended = product
+            if before:
+                hit, z = hit & before[0], z * before[1]
+                extended = extended / pick(before[0], *before[2][:2])
+            known = factors(z)
+            below = walk(child, extended * pick(hit, *known[:2]), {**path, feature: (hit, z, known)})
+            total[:, feature] += gained(hit, below, known)
+            if before:
+                total[:, feature] -= gained(before[0], below, before[2])
+            sums = sums + below
+        return sums
+
+    walk(0, np.ones((len(x), len(t))), {})
+
+
+def shapley_matrix(trees: list[Tree], x: np.ndarray, rows: int = 2048) -> np.ndarray:
     """Contributions of a matrix of rows, shape (rows, features)."""
-    total = np.zeros_like(x)
-    for features, lows, highs, phi in leaves:
-        part = x[:, features]
-        hits = (part > lows) & (part <= highs)
-        total[:, features] += phi[hits @ (1 << np.arange(len(features)))]
+    total = np.zeros(x.shape)
+    for start in range(0, len(x), rows):
+        for tree in trees:
+            _add_tree(tree, x[start:start + rows], total[start:start + rows])
     return total
 
 
 def contributions(model, df: DataFrame, columns, keep=()) -> DataFrame:
     """Per row the contribution of every feature, as ``contributions``; ``base_value`` is the same for all rows.
 
-    ``df`` has the plain feature columns; missing values count as 0, as in scoring. The leaf tables are broadcast:
-    their size is set by the number and depth of trees, not by the data.
+    ``df`` has the plain feature columns; missing values count as 0, as in scoring. The nodes are broadcast: at most
+    2^(depth + 1) a tree, whatever the data.
     """
     spark, columns, keep = df.sparkSession, list(columns), list(keep)
-    leaves, base = explainer(spark, model)
-    shared = spark.sparkContext.broadcast(leaves)
+    trees = trees_of(spark, model)
+    base = sum(tree.mean() for tree in trees)
+    shared = spark.sparkContext.broadcast(trees)
     data = df.select(*keep, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x_{c}") for c in columns])
 
     def explain(batches):

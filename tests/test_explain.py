@@ -38,8 +38,8 @@ def _expected(tree, x, known, node=0):
 
 def test_matches_brute_force_shapley():
     tree = _tree()
-    leaves, base = ex._leaf_tables(tree, 1.0)
-    assert base == pytest.approx(_expected(tree, [0, 0, 0], set()))
+    leaves = [ex.as_tree(tree)]
+    assert leaves[0].mean() == pytest.approx(_expected(tree, [0, 0, 0], set()))
     for x in itertools.product((0.2, 0.6, 0.9), (0.1, 0.9), (0.2, 0.7)):
         phi = ex.shapley_matrix(leaves, np.array([x]))[0]
         for j in range(3):
@@ -50,6 +50,69 @@ def test_matches_brute_force_shapley():
             assert phi[j] == pytest.approx(want)
 
 
+def _random_tree(rng, depth, features):
+    """A full tree whose paths use features again and again."""
+    nodes, cover = [], {0: 2.0 ** depth * 50}
+    for i in range(2 ** (depth + 1) - 1):
+        inner = i < 2 ** depth - 1 and cover[i] > 2
+        left, right = (2 * i + 1, 2 * i + 2) if inner else (-1, -1)
+        if inner:
+            share = rng.uniform(0.2, 0.8)
+            cover[left], cover[right] = cover[i] * share, cover[i] * (1 - share)
+        if i in cover:
+            nodes.append({"id": i, "leftChild": left, "rightChild": right, "prediction": rng.normal(), "rawCount": cover[i],
+                          "split": {"featureIndex": int(rng.integers(features)),
+                                    "leftCategoriesOrThreshold": [float(rng.uniform())]}})
+        else:
+            cover[left], cover[right] = 0, 0
+    return pd.DataFrame(nodes).set_index("id")
+
+
+@pytest.mark.parametrize("depth, features", [(1, 2), (4, 3), (5, 6), (10, 5)])
+def test_deep_trees_match_brute_force_shapley(depth, features):
+    rng = np.random.default_rng(depth)
+    nodes = _random_tree(rng, depth, features)
+    tree = ex.as_tree(nodes)
+    rows = rng.uniform(size=(3, features))
+    phi = ex.shapley_matrix([tree], rows, rows=2)
+    for x, got in zip(rows, phi):
+        value = {s: _expected(nodes, x, set(s)) for n in range(features + 1)
+                 for s in itertools.combinations(range(features), n)}
+        for j in range(features):
+            want = sum(math.factorial(len(s)) * math.factorial(features - 1 - len(s)) / math.factorial(features)
+                       * (value[tuple(sorted({*s, j}))] - value[s]) for s in value if j not in s)
+            assert got[j] == pytest.approx(want, abs=1e-9)
+        assert got.sum() + tree.mean() == pytest.approx(tree.leaf_values(x[None])[0])
+
+
+def _average_precision(labels, scores):
+    total, hits, seen = 0.0, 0, 0
+    for score in sorted(set(scores), reverse=True):
+        here = [y for y, s in zip(labels, scores) if s == score]
+        hits, seen = hits + sum(here), seen + len(here)
+        total += sum(here) / sum(labels) * hits / seen
+    return total
+
+
+def test_stopping_keeps_the_prefix_that_ranks_best(spark, tiny):
+    df = train.with_vector(t.system(spark, tiny), COLUMNS).select("event_id", "machine_failure", "features")
+    valid = df.where("event_id % 3 = 0")
+    whole = train.fit_boosted(df.where("event_id % 3 <> 0"), "machine_failure", QUICK)
+    got = {r["trees"]: r["average_precision"] for r in train.prefix_precision(
+        train.staged_margins(whole, valid, ["machine_failure"]), "machine_failure").collect()}
+    want = {}
+    for k in range(1, whole.getNumTrees + 1):  # prefix by prefix
+        cut = train.cut_to(whole, k)
+        assert cut.getNumTrees == k
+        rows = train.score(cut, valid).select("machine_failure", "score").collect()
+        want[k] = _average_precision([r[0] for r in rows], [round(r[1], 12) for r in rows])
+    assert got == pytest.approx(want)
+    best = train.fit_boosted(df.where("event_id % 3 <> 0"), "machine_failure", QUICK, valid)
+    assert best.getNumTrees == min(k for k in want if want[k] == max(want.values()))
+    none = valid.where("machine_failure = 0")
+    assert train.best_prefix(whole, none, "machine_failure").getNumTrees == whole.getNumTrees
+
+
 def test_contributions_add_up_to_the_margin(spark, tiny):
     system = t.system(spark, tiny)
     df = train.with_vector(system, COLUMNS)
@@ -68,8 +131,9 @@ def test_cross_validation_scores_every_row_once(spark, tiny):
     scored, trees = train.cross_validate(df, "machine_failure", "event_id", COLUMNS, QUICK)
     ids = [r["event_id"] for r in scored.select("event_id").collect()]
     assert len(ids) == len(set(ids)) == 1000 and len(trees) == 2 and all(1 <= n <= 6 for n in trees)
-    summary = train.cv_summary(scored, "machine_failure", 2).collect()
+    summary = train.cv_summary(scored, "machine_failure", trees).collect()
     assert len(summary) == 2 and all(0 <= r["average_precision"] <= 1 for r in summary)
+    assert {r["fold"]: r["trees"] for r in summary} == dict(enumerate(trees))
     model = train.refit(df, "machine_failure", "event_id", COLUMNS, trees, QUICK)
     assert model.getNumTrees == int(np.median(trees))
 
