@@ -95,24 +95,33 @@ def fatigue_summary(df: DataFrame, as_of, days: int = 7, machine=None) -> DataFr
         F.lit(INDUSTRY_FALSE_POSITIVE_RATE).alias("benchmark_fp_rate"))
 
 
-def daily_fatigue(df: DataFrame) -> DataFrame:
-    """Per day and machine: alerts by risk level, review outcomes and a map of root causes.
-
-    Grouped by cause first, so the second step only adds up a few rows per day and machine.
-    """
-    per_cause = df.groupBy(F.to_date("created_at").alias("date"), "machine_id", "root_cause").agg(
+def cause_counts(df: DataFrame) -> DataFrame:
+    """Per day, machine and root cause: alerts by risk level and review outcomes. All counts can be added up."""
+    return df.groupBy(F.to_date("created_at").alias("date"), "machine_id", "root_cause").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.count_if(F.col("risk_level") == r).alias(f"{r}_count") for r in RISK_LEVELS],
         F.count_if(F.col("acknowledged")).alias("ack"), F.count_if(F.col("false_positive")).alias("fp"),
         F.count_if(~F.col("false_positive")).alias("tp"))
+
+
+def daily_from_causes(per_cause: DataFrame) -> DataFrame:
+    """Per day and machine, from :func:`cause_counts`."""
     causes = F.map_from_entries(F.collect_list(
-        F.when(F.col("root_cause").isNotNull(), F.struct("root_cause", "n"))))
+        F.when(F.col("root_cause").isNotNull() & (F.col("n") > 0), F.struct("root_cause", "n"))))
     return per_cause.groupBy("date", "machine_id").agg(
         F.sum("n").alias("total_alerts"), *[F.sum(f"{r}_count").alias(f"{r}_count") for r in RISK_LEVELS],
         F.sum("ack").alias("acknowledged_count"), F.sum("fp").alias("false_positive_count"),
         F.sum("tp").alias("true_positive_count"), causes.alias("root_cause_distribution"))
 
 
+def daily_fatigue(df: DataFrame) -> DataFrame:
+    """Per day and machine: alerts by risk level, review outcomes and a map of root causes.
+
+    Grouped by cause first, so the second step only adds up a few rows per day and machine.
+    """
+    return daily_from_causes(cause_counts(df))
+
+
 def counters(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("risk_level").isin(*_HIGH)).alias("high_risk"),
                   F.count_if(F.col("acknowledged")).alias("acknowledged"))

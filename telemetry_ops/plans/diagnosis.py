@@ -256,6 +256,24 @@ _TEXT = ("CASE win " + " ".join(f"WHEN {i + 1} THEN '{text}'" for i, (_, _, text
          + f" ELSE CASE WHEN spread THEN '{dg.COMPLEX_TEXT}' ELSE 'Elevated ' || domain || "
          "' indicators detected. Primary driver: ' || driver END END")
 
+_EVIDENCE = (
+    "SELECT event_id, string_agg(place || '. ' || feature || coalesce(' = ' || printf('%.3f', val), '') || CASE WHEN c > 0 "
+    "THEN ' raises' ELSE ' lowers' END || ' the margin by ' || printf('%.3f', abs(c)), chr(10) ORDER BY place) "
+    "AS evidence FROM ranked WHERE place <= 5 GROUP BY event_id")
+_IMPACTS = "concat_ws(', ', " + ", ".join(
+    f"CASE WHEN abs({g}) > 0.01 THEN '{g} ' || printf('%+.3f', {g}) END" for g in FEATURE_GROUPS) + ")"
+_BULLETS = "array_to_string(list_transform({list}, lambda x: '* ' || x), chr(10))"
+_WATCH = "CASE mode " + " ".join(
+    f"WHEN '{m}' THEN chr(10) || '## To watch' || chr(10) || '" + "' || chr(10) || '".join(f"* {y}" for y in x) + "'"
+    for m, x in dg.MONITORING.items() if x) + " END"
+_REPORT = (
+    "SELECT event_id, concat_ws(chr(10), '# ' || coalesce(machine_id, 'unknown machine') || ', ' || "
+    "strftime(timestamp, '%Y-%m-%d %H:%M:%S'), chr(10) || '## To do', " + _BULLETS.format(list=_ACTIONS) + f", {_WATCH}, "
+    "chr(10) || '## Finding' || chr(10) || risk_level || ' risk, failure probability ' || "
+    "printf('%.1f', failure_probability * 100) || ' %; ' || mode || ', confidence ' || confidence || '.', " + _TEXT + ", "
+    "chr(10) || '## Evidence', evidence, 'By domain: ' || coalesce(nullif(" + _IMPACTS + ", ''), 'none')) AS report_md "
+    "FROM done JOIN evidence USING (event_id)")
+
 
 def _violations_sql():
     reasons = []
@@ -295,7 +313,7 @@ QUERIES = {
     "diagnosis_summary": (_summaries, _d(
         "SELECT event_id, machine_id, risk_level, printf('%.4f', failure_probability)::DOUBLE AS failure_probability, "
         f"mode AS root_cause, ({_ACTIONS})[1] AS action, top3 AS top_features FROM done")),
-    "diagnosis_reports": (_reports, None),
+    "diagnosis_reports": (_reports, sql(_REPORT, "fx_base", **_D, evidence=_EVIDENCE)),
     "diagnosis_risk_counts": (_counts, _d("SELECT risk_level, count(*) AS n_rows FROM done GROUP BY risk_level")),
     "top_contributors": (_top, _d(
         f"SELECT event_id, place, feature, {r('val AS value', 'c AS contribution')}, CASE WHEN c > 0 THEN "

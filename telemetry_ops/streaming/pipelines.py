@@ -15,6 +15,7 @@ from telemetry_ops.config import DriftConfig, FeatureConfig, QualityConfig
 from telemetry_ops.functions import missing_to_null
 from telemetry_ops.operators import features
 from telemetry_ops.operators.drift import bin_index, psi_value, shares
+from telemetry_ops.operators.merged import merge_counts
 from telemetry_ops.operators.scan import exact_percentiles
 from telemetry_ops.operators.quality import bounds_bit, is_outside, missing_bit
 
@@ -139,23 +140,21 @@ def stream_features(df: DataFrame, cfg: FeatureConfig | None = None) -> DataFram
         features.under_stress(F.lit(cfg.stress_fixed)).alias("error_under_stress"))
 
 
-def stream_bin_counts(df: DataFrame, base: DataFrame, window: str, watermark: str = WATERMARK,
-                      cfg: DriftConfig | None = None) -> DataFrame:
+def bin_counts(df: DataFrame, base: DataFrame, window: str, cfg: DriftConfig | None = None) -> DataFrame:
     """Bin counts per window and column against a saved baseline (a static table of one row per column)."""
     cfg = cfg or DriftConfig()
     columns = [c for c in cfg.columns if c in df.columns]
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
                                 for c in columns]))
-    long = df.withWatermark("timestamp", watermark).select("timestamp", pairs.alias("p")).select("timestamp", "p.*")
+    start = F.date_format(F.window("timestamp", window)["start"], "yyyy-MM-dd HH:mm:ss").alias("window_start")
+    long = df.select(start, pairs.alias("p")).select("window_start", "p.*")
     binned = long.join(F.broadcast(base.select("column", "edges")), "column").withColumn(
         "bin", F.when(F.col("value").isNull(), -1).otherwise(bin_index(F.col("value"), F.col("edges"), cfg.bins)))
-    return (binned.groupBy(F.window("timestamp", window).alias("w"), "column", "bin")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select(F.col("w.start").alias("window_start"), "column", "bin", "n"))
+    return binned.groupBy("window_start", "column", "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
 def drift_from_counts(counts: DataFrame, base: DataFrame, cfg: DriftConfig | None = None) -> DataFrame:
-    """Stability index per window and column from finished bin counts; run inside ``foreachBatch`` or on the table."""
+    """Stability index per window and column from bin counts."""
     cfg = cfg or DriftConfig()
     per = counts.groupBy("window_start", "column").agg(
         F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("counts"),
@@ -165,6 +164,28 @@ def drift_from_counts(counts: DataFrame, base: DataFrame, cfg: DriftConfig | Non
         F.bround(psi_value(shares(cfg.bins, cfg.epsilon), F.col("proportions")), 6).alias("psi"))
 
 
+def drift_sink(base: DataFrame, counts_path: str, emitted_path: str, window: str = "1 day",
+               cfg: DriftConfig | None = None):
+    """``foreachBatch`` function that keeps drift up to date while rows arrive.
+
+    A batch's bin counts are merged into the table at ``counts_path``, and the stability index of the windows the batch
+    touched, and of no others, is emitted to the batch's own folder. Rows may come late by any time: they reopen their
+    window. A batch that is replayed adds nothing and emits the same rows again.
+    """
+    emit = idempotent_sink(emitted_path)
+
+    def step(df: DataFrame, batch_id: int) -> None:
+        touched = merge_counts(counts_path, bin_counts(df, base, window, cfg), "window_start", ["column", "bin"], ["n"],
+                               batch_id)
+        emit(drift_from_counts(touched, base, cfg), batch_id)
+    return step
+
+
+def latest_drift(emitted: DataFrame) -> DataFrame:
+    """The last index emitted for each window and column."""
+    return emitted.groupBy("window_start", "column").agg(F.max_by("psi", "batch").alias("psi"))
+
+
 def stream_hourly(alerts: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     """Alerts and mean probability per hour of creation."""
     return (alerts.withWatermark("created_at", watermark).groupBy(F.window("created_at", "1 hour").alias("w"))
@@ -198,7 +219,18 @@ def idempotent_sink(path: str):
 
 def run_available(df: DataFrame, path: str, checkpoint: str, mode: str = "append"):
     """Process what is there now into an idempotent Parquet sink and stop."""
-    query = (df.writeStream.foreachBatch(idempotent_sink(path)).outputMode(mode)
+    return run_into(df, idempotent_sink(path), checkpoint, mode)
+
+
+def run_into(df: DataFrame, sink, checkpoint: str, mode: str = "append"):
+    """Process what is there now by a ``foreachBatch`` function and stop."""
+    query = (df.writeStream.foreachBatch(sink).outputMode(mode)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
     return query
+
+
+def late_rows(query) -> int:
+    """Rows the stateful steps of a query left out because they came after the watermark, over its recent batches."""
+    return sum(int(state["numRowsDroppedByWatermark"]) for progress in query.recentProgress
+               for state in progress["stateOperators"])

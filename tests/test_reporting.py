@@ -114,9 +114,9 @@ def test_report_text(spark):
                   network_latency_ms=60.0)
     full = spark.createDataFrame([row])
     text = dg.report_md(full).first()["report_md"]
-    assert "### 🔴 Risk Level: CRITICAL" in text and "**Failure Probability:** 95.0%" in text
-    assert "| air_temperature_K | 300.000 | ↑ Risk (+1.000) |" in text
-    assert "- **Thermal**: +1.000 ██████████" in text and "1. ⚠️ CRITICAL" in text
+    assert "critical risk, failure probability 95.0 %" in text and "* ⚠️ CRITICAL" in text
+    assert "1. air_temperature_K = 300.000 raises the margin by 1.000" in text
+    assert "2. packet_loss_pct" in text and "lowers the margin by 0.500" in text and "thermal +1.000" in text
     assert "Increase cooling airflow (current: 27.0°C)" in text and df.count() == 1
 
 
