@@ -111,3 +111,10 @@ def append(*parts: DataFrame) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
     return out
+
+
+def request_time(text, now) -> Column:
+    """Time a request names, as ISO text with or without a zone (``Z`` or an offset); ``now`` where it names none or no valid
+    one. Texts without a zone are in the session's."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.coalesce(F.try_to_timestamp(F.trim(text)), now)

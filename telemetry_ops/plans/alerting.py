@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from telemetry_ops.config import RISK_LEVELS
-from telemetry_ops.operators import alerts as a, explain
+from telemetry_ops.operators import alerts as a, explain, merged
 from telemetry_ops.plans.common import OFF_TIE, r, rounded, sql, sql_time, text_time
+from telemetry_ops.scratch import new_path
 from telemetry_ops.sources import telemetry as t
 
 _DAYS = 7
@@ -56,7 +57,23 @@ def _fatigue_machine(spark, d):
 
 
 def _daily(spark, d):
-    s = a.daily_fatigue(t.alerts(spark, d))
+    return _with_causes(a.daily_fatigue(t.alerts(spark, d)))
+
+
+def _maintained(spark, d):
+    """The daily table after alerts and acknowledgements came in two batches each, one of them twice."""
+    path, alerts, acks = new_path(spark, "daily"), t.alerts(spark, d), t.acknowledgements(spark, d)
+    early = F.pmod(F.xxhash64("acknowledged_at"), F.lit(2)) == 0
+    merged.add_alerts(path, alerts.where("id % 2 = 0"), 0)
+    merged.add_acknowledgements(path, alerts.where("id % 2 = 0"), acks.limit(0), acks.where(early & (F.col("alert_id") % 2 == 0)), 1)
+    for _ in range(2):
+        merged.add_alerts(path, alerts.where("id % 2 <> 0"), 2)
+    merged.add_acknowledgements(path, alerts, acks.where(early & (F.col("alert_id") % 2 == 0)),
+                                acks.where(~(early & (F.col("alert_id") % 2 == 0))), 3)
+    return _with_causes(merged.daily(spark, path, alerts))
+
+
+def _with_causes(s):
     causes = F.array_join(F.array_sort(F.transform(F.map_entries("root_cause_distribution"), lambda e: F.concat(
         e["key"], F.lit("="), e["value"].cast("string")))), ",")
     return s.withColumn("root_causes", causes).drop("root_cause_distribution").withColumn(
@@ -109,6 +126,19 @@ _SUMMARY = (
 _BY_RISK = "".join(f"count(*) FILTER (risk_level = '{x}') AS n_{x}, " for x in RISK_LEVELS)
 _SEVERITY = "CASE risk_level " + " ".join(f"WHEN '{x}' THEN {i + 1}" for i, x in enumerate(RISK_LEVELS)) + " END"
 
+_DAILY = (
+        "SELECT m.*, c.root_causes FROM (SELECT CAST(created_at AS DATE)::VARCHAR AS date, machine_id, count(*) AS "
+        "total_alerts, " + "".join(f"count(*) FILTER (risk_level = '{x}') AS {x}_count, " for x in RISK_LEVELS)
+        + "count(*) FILTER (acknowledged) AS acknowledged_count, count(*) FILTER (false_positive) AS "
+        "false_positive_count, count(*) FILTER (NOT false_positive) AS true_positive_count FROM {alerts} GROUP BY 1, 2) m "
+        "JOIN (SELECT date, machine_id, coalesce(string_agg(root_cause || '=' || n, ',' ORDER BY root_cause), '') AS "
+        "root_causes FROM (SELECT CAST(created_at AS DATE)::VARCHAR AS date, machine_id, root_cause, count(*) AS n "
+        "FROM {alerts} GROUP BY 1, 2, 3) GROUP BY 1, 2) c USING (date, machine_id)")
+_ACKED = (
+    "SELECT a.* REPLACE (a.acknowledged OR k.at IS NOT NULL AS acknowledged, coalesce(k.label, a.false_positive) AS "
+    "false_positive) FROM fx_alerts a LEFT JOIN (SELECT alert_id, max(acknowledged_at) AS at, arg_max(is_false_positive, "
+    "acknowledged_at) FILTER (is_false_positive IS NOT NULL) AS label FROM fx_acks GROUP BY alert_id) k ON k.alert_id = a.id")
+
 QUERIES = {
     "alert_listing": (_listing, sql(
         f"SELECT id, machine_id, risk_level, {r('failure_prob')} FROM fx_alerts WHERE machine_id = 'M2' AND "
@@ -136,14 +166,8 @@ QUERIES = {
         _SUMMARY.format(days=7, risks=_BY_RISK, where=_SINCE.format("7 days")), "fx_alerts")),
     "fatigue_by_machine": (_fatigue_machine, sql(
         _SUMMARY.format(days=30, risks="", where=_SINCE.format("30 days") + "AND machine_id = 'M3'"), "fx_alerts")),
-    "daily_fatigue": (_daily, sql(
-        "SELECT m.*, c.root_causes FROM (SELECT CAST(created_at AS DATE)::VARCHAR AS date, machine_id, count(*) AS "
-        "total_alerts, " + "".join(f"count(*) FILTER (risk_level = '{x}') AS {x}_count, " for x in RISK_LEVELS)
-        + "count(*) FILTER (acknowledged) AS acknowledged_count, count(*) FILTER (false_positive) AS "
-        "false_positive_count, count(*) FILTER (NOT false_positive) AS true_positive_count FROM fx_alerts GROUP BY 1, 2) m "
-        "JOIN (SELECT date, machine_id, coalesce(string_agg(root_cause || '=' || n, ',' ORDER BY root_cause), '') AS "
-        "root_causes FROM (SELECT CAST(created_at AS DATE)::VARCHAR AS date, machine_id, root_cause, count(*) AS n "
-        "FROM fx_alerts GROUP BY 1, 2, 3) GROUP BY 1, 2) c USING (date, machine_id)", "fx_alerts")),
+    "daily_fatigue": (_daily, sql(_DAILY.format(alerts="fx_alerts"), "fx_alerts")),
+    "daily_fatigue_maintained": (_maintained, sql(_DAILY.format(alerts="acked"), "fx_alerts", "fx_acks", acked=_ACKED)),
     "alert_counters": (_counters, sql(
         "SELECT count(*) AS total, count(*) FILTER (risk_level IN ('high', 'critical')) AS high_risk, "
         "count(*) FILTER (acknowledged) AS acknowledged FROM fx_alerts", "fx_alerts")),

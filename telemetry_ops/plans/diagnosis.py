@@ -146,6 +146,17 @@ def _types(spark, d):
         "event_id", "torque_Nm", "tool_wear_min", F.array_join("violations", "; ").alias("violations"))
 
 
+# times as requests give them: with Z, with an offset, without a zone, no time, nothing
+_TIME = ("CASE k % 5 WHEN 0 THEN concat('2024-01-', lpad(CAST(k % 28 + 1 AS STRING), 2, '0'), 'T10:00:00Z') "
+         "WHEN 1 THEN '2024-03-05T23:30:00+02:00' WHEN 2 THEN '2024-03-05 07:08:09' WHEN 3 THEN 'soon' END")
+
+
+def _times(spark, d):
+    now = F.lit("2024-06-01 00:00:00").cast("timestamp")
+    df = t.base(spark, d).selectExpr("event_id", f"{_TIME} AS text")
+    return df.select("event_id", F.date_format(va.request_time("text", now), "yyyy-MM-dd HH:mm:ss").alias("requested_at"))
+
+
 def _defaults(spark, d):
     df = t.base(spark, d).selectExpr("event_id", "CASE WHEN k % 7 = 0 THEN NULL WHEN k % 7 = 1 THEN 0e0 "
                                      "ELSE value END AS network_latency_ms")
@@ -342,6 +353,10 @@ QUERIES = {
         "SELECT event_id, 40.5::DOUBLE AS torque_Nm, CASE WHEN k % 4 = 2 THEN 12.5::DOUBLE END AS tool_wear_min, "
         "CASE WHEN k % 4 < 2 THEN 'tool_wear_min: wrong type' WHEN k % 4 = 3 THEN 'tool_wear_min: missing' ELSE '' "
         "END AS violations FROM fx_base", "fx_base")),
+    "request_time": (_times, sql(
+        "SELECT event_id, strftime(coalesce(TRY_CAST(regexp_replace(text, '(Z|[+-][0-9:]{5})$', '') AS TIMESTAMP) - coalesce(TRY_CAST("
+        "regexp_extract(text, 'T.*([+-][0-9]{2}):[0-9]{2}$', 1) AS INT), 0) * INTERVAL 1 hour, TIMESTAMP '2024-06-01 00:00:00'), "
+        "'%Y-%m-%d %H:%M:%S') AS requested_at FROM x", "fx_base", x=f"SELECT event_id, {_TIME} AS text FROM fx_base")),
     "request_rejects": (_rejects, sql("SELECT event_id, violations FROM checked WHERE violations <> ''", "fx_base",
                                       req=_REQ, checked=_CHECKED)),
     "request_valid": (_valid, sql(

@@ -13,31 +13,32 @@ from telemetry_ops.plans import quality as pq
 from telemetry_ops.plans.common import SYSTEM_NAMES, r, rounded, sql, sql_time, text_time
 from telemetry_ops.plans.feature import _KEPT, _CROSS, _LAGS, _MEANS, _STDS, _STRESS
 from telemetry_ops.plans.feature import r as off_tie, rounded as off_tie_df
-from telemetry_ops.scratch import new_path
+from telemetry_ops.scratch import new_path, written
 from telemetry_ops.sources import telemetry as t
-from telemetry_ops.streaming import pipelines as s
+from telemetry_ops.streaming import pipelines as s, stateful
 
-_FILES = 3
+_STEPS, _FILES = 3, 4  # micro-batches, and files of each
 
 
 def _source(spark, df, time: str = "timestamp", rid: str = "event_id"):
-    """``df`` as a stream of three files in time order."""
+    """``df`` as a stream of three micro-batches of several files each, in time order."""
     path = new_path(spark, "incoming")
     placed = positions(df, [time, rid], "_pos")
     n = placed.count()
-    for i in range(_FILES):
-        part = placed.where((F.col("_pos") >= n * i // _FILES) & (F.col("_pos") < n * (i + 1) // _FILES))
-        part.drop("_pos").coalesce(1).write.mode("append").parquet(path)
-    return s.stream_source(spark, path, df.schema)
+    for i in range(_STEPS):
+        part = placed.where((F.col("_pos") >= n * i // _STEPS) & (F.col("_pos") < n * (i + 1) // _STEPS))
+        part.drop("_pos").repartition(_FILES).write.mode("append").parquet(path)
+    return s.stream_source(spark, path, df.schema, files_per_trigger=_FILES)
 
 
-def _run(spark, stream, mode="append"):
-    """Everything a stream emits; in complete mode the result of its last batch."""
+def _run(spark, stream, mode="append", key=None):
+    """Everything a stream emits; in update mode the last row of each ``key``."""
     path = new_path(spark, "emitted")
     s.run_available(stream, path, new_path(spark, "progress"), mode)
     out = spark.read.parquet(path)
-    if mode == "complete":
-        out = out.where(F.col("batch") == out.agg(F.max("batch")).scalar())
+    if mode == "update":
+        names = [c for c in out.columns if c != "batch"]
+        out = out.groupBy(F.col(key).alias("_key")).agg(F.max_by(F.struct(*names), "batch").alias("_last")).select("_last.*")
     return out.drop("batch")
 
 
@@ -48,12 +49,13 @@ def _flags(spark, d):
 
 def _hourly(spark, d):
     df = _source(spark, t.alerts(spark, d).select("id", "created_at", "failure_prob"), "created_at", "id")
-    out = _run(spark, s.stream_hourly(df.withColumn("created_at", F.col("created_at").cast("timestamp"))), "complete")
+    out = _run(spark, s.stream_hourly(df.withColumn("created_at", F.col("created_at").cast("timestamp"))), "update", "hour")
     return off_tie_df(out.withColumn("hour", text_time("hour")))
 
 
 def _quality(spark, d):
-    out = _run(spark, s.stream_quality(_source(spark, t.system(spark, d)), SYSTEM_NAMES), "complete")
+    out = _run(spark, s.stream_quality(_source(spark, t.system(spark, d)), SYSTEM_NAMES), "update",
+               "window_start")
     return out.withColumn("window_start", text_time("window_start"))
 
 
@@ -67,10 +69,23 @@ def _ema(spark, d):
                    .drop("stream"))
 
 
+def _gate(spark, d):
+    """Reports of the days that are final."""
+    with stateful.rocksdb(spark):
+        out = _run(spark, stateful.stream_gate(_source(spark, t.system(spark, d)), SYSTEM_NAMES, "1 day"))
+    total = lambda c: F.aggregate(F.map_values(c), F.lit(0).cast("long"), lambda a, v: a + v)
+    return rounded(out.select(
+        text_time("window_start").alias("window_start"), "total_rows", total("missing_counts").alias("missing"),
+        total("out_of_bounds_counts").alias("out_of_bounds"), "latency_spikes", "quality_score", "passed"))
+
+
 def _drift(spark, d):
-    base = pq._base(pq.with_chunks(spark, d))
-    counts = _run(spark, s.stream_bin_counts(_source(spark, t.system(spark, d)), base, "1 day"), "complete")
-    return rounded(s.drift_from_counts(counts, base).withColumn("window_start", text_time("window_start")))
+    """Windows as last emitted, while their counts were merged batch by batch."""
+    base = written(pq._base(pq.with_chunks(spark, d)), "baseline")
+    emitted = new_path(spark, "emitted")
+    sink = s.drift_sink(base, new_path(spark, "counts"), emitted)
+    s.run_into(_source(spark, t.system(spark, d)), sink, new_path(spark, "progress"))
+    return rounded(s.latest_drift(spark.read.parquet(emitted)))
 
 
 def _features(spark, d):
@@ -101,6 +116,7 @@ _EDGES = {k: v for k, v in pq._CHUNK_BINS.items()}
 _NUM = {"machine_id", "product_type", "machine_failure", "http_5xx_count", "is_anomaly"}
 _PLAIN = ", ".join(c if c in _NUM else off_tie(c) for c in _KEPT)
 _OUT = " + ".join(f"count(*) FILTER ({x})" for x in pq._OUTSIDE.values())
+_SPIKES = "count(*) FILTER (network_latency_ms > 3 * ema)"
 _MIS = " + ".join(f"count(*) FILTER ({c} IS NULL)" for c in SYSTEM_NAMES)
 
 QUERIES = {
@@ -122,6 +138,20 @@ QUERIES = {
             "INTERVAL 1 hour <= (SELECT max(timestamp) FROM fx_system) - INTERVAL 10 minutes",
         e="SELECT n, m AS ema FROM med WHERE n = 1 UNION ALL SELECT med.n, 0.3::DOUBLE * med.m + 0.7::DOUBLE * e.ema "
           "FROM e JOIN med ON med.n = e.n + 1").replace("e AS MATERIALIZED (SELECT n, m", "e AS (SELECT n, m")),
+    "stream_gate": (_gate, sql(
+        f"SELECT {sql_time('day')} AS window_start, count(*) AS total_rows, {_MIS} AS missing, {_OUT} AS out_of_bounds, "
+        f"{_SPIKES} AS latency_spikes, round(1 - least((({_MIS}) + ({_OUT}) + {_SPIKES}) / (count(*) * {len(SYSTEM_NAMES) + 1}), 1.0), "
+        f"6) AS quality_score, greatest({', '.join(f'count(*) FILTER ({c} IS NULL)' for c in SYSTEM_NAMES)}) / count(*) * 100 <= 5 "
+        "AS passed FROM (SELECT *, date_trunc('day', timestamp) AS day FROM fx_system) x LEFT JOIN before USING (day) "
+        "WHERE day + INTERVAL 1 day <= (SELECT max(timestamp) FROM fx_system) - INTERVAL 10 minutes GROUP BY day",
+        "fx_system",
+        med="SELECT date_trunc('day', timestamp) AS day, median(network_latency_ms) AS m, row_number() OVER (ORDER BY "
+            "date_trunc('day', timestamp)) AS n FROM fx_system WHERE network_latency_ms IS NOT NULL GROUP BY 1",
+        e="SELECT n, m AS ema FROM med WHERE n = 1 UNION ALL SELECT med.n, 0.3::DOUBLE * med.m + 0.7::DOUBLE * e.ema "
+          "FROM e JOIN med ON med.n = e.n + 1",
+        before="SELECT d.day, arg_max(e.ema, e.n) AS ema FROM (SELECT DISTINCT date_trunc('day', timestamp) AS day FROM "
+               "fx_system) d JOIN med ON med.day < d.day JOIN e USING (n) GROUP BY d.day").replace(
+            "e AS MATERIALIZED (SELECT n, m", "e AS (SELECT n, m")),
     "stream_drift": (_drift, sql(
         "SELECT strftime(a.day, '%Y-%m-%d 00:00:00') AS window_start, a.col AS column, "
         "round(sum((a.p - e.p) * ln(a.p / e.p)), 6) AS psi FROM dshares a JOIN shares e ON e.chunk_id = 0 AND "
@@ -138,5 +168,9 @@ QUERIES = {
         f"SELECT event_id, {_PLAIN}, {off_tie(*_MEANS, *_STDS, *_LAGS, *_CROSS)}, {_STRESS.format(limit=40)} "
         "AS error_under_stress FROM fx_filled", "fx_filled")),
     "stream_alert_sink": (_alert_sink, sql("SELECT id, machine_id, risk_level FROM fx_alerts", "fx_alerts")),
-    "stream_align": (_align, None),
+    "stream_align": (_align, sql(
+        f"SELECT s.event_id, s.machine_id, {r('s.torque_Nm AS torque_Nm', 'a.error_rate_pct AS error_rate_pct')} FROM fx_system s "
+        "LEFT JOIN fx_app a ON s.timestamp = a.timestamp AND s.machine_id = a.machine_id WHERE a.timestamp IS NOT NULL OR "
+        "s.timestamp < (SELECT least(max(timestamp), (SELECT max(timestamp) FROM fx_app)) FROM fx_system) - INTERVAL 10 minutes",
+        "fx_system", "fx_app")),
 }

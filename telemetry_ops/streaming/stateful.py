@@ -1,11 +1,13 @@
 """Streams whose state needs event-time timers: the quality gate by window, and history features by machine.
 
-Both keep their state in RocksDB (:func:`state_in_rocksdb`) and act when the watermark passes a time, so rows may come in any
+Both keep their state in RocksDB (:func:`rocksdb`) and act when the watermark passes a time, so rows may come in any
 order until then; later ones are left out and counted by ``pipelines.late_rows``.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,12 +17,19 @@ from telemetry_ops.config import QualityConfig
 from telemetry_ops.operators.quality import is_outside, latency_columns
 from telemetry_ops.streaming.pipelines import WATERMARK
 
-_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_SETTING = "spark.sql.streaming.stateStore.providerClass"
+_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def state_in_rocksdb(spark: SparkSession) -> None:
-    """Timers and several states per key need this provider; set it before a query starts."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _PROVIDER)
+@contextmanager
+def rocksdb(spark: SparkSession):
+    """Timers and several states per key need this store; a query keeps the one it was started with."""
+    before = spark.conf.get(_SETTING, None)
+    spark.conf.set(_SETTING, _STORE)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_SETTING) if before is None else spark.conf.set(_SETTING, before)
 
 
 def weighted_median(values: np.ndarray, counts: np.ndarray) -> float:

@@ -75,15 +75,15 @@ def test_drift_follows_the_stream_and_replays_change_nothing(spark, tiny, tmp_pa
 
 
 def test_streamed_gate_equals_the_batch_report(spark, tiny, tmp_path):
-    stateful.state_in_rocksdb(spark)
     system = t.system(spark, tiny).withColumn("network_latency_ms", F.when(F.col("event_id") % 7 == 0, F.col(
         "network_latency_ms") * 9).when(F.col("event_id") % 11 != 0, F.col("network_latency_ms")))
     incoming, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
     days = [r[0] for r in system.select(F.to_date("timestamp").alias("d")).distinct().orderBy("d").collect()]
     for lo, hi in ((0, 3), (3, 6), (6, len(days))):  # three runs, resumed from the checkpoint
         system.where(F.to_date("timestamp").isin(days[lo:hi])).coalesce(1).write.mode("append").parquet(incoming)
-        s.run_available(stateful.stream_gate(s.stream_source(spark, incoming, system.schema), SYSTEM_NAMES, "1 day"), out,
-                        progress)
+        with stateful.rocksdb(spark):
+            s.run_available(stateful.stream_gate(s.stream_source(spark, incoming, system.schema), SYSTEM_NAMES, "1 day"),
+                            out, progress)
     got = spark.read.parquet(out).drop("batch")
     chunked = system.withColumn("window_start", F.date_trunc("day", "timestamp"))
     numbered = chunked.withColumn("chunk", F.dense_rank().over(Window.orderBy("window_start")) - 1)
