@@ -87,18 +87,24 @@ def with_history_columns(recent: DataFrame, cfg: FeatureConfig) -> DataFrame:
         (F.col("tool_wear_min") - F.lag("tool_wear_min").over(w)).alias("_step"))
 
 
-def _finish(last: DataFrame, cfg: FeatureConfig, cold_start: bool) -> DataFrame:
-    n = F.col("n_history")
-    replaced = {}
-    for c in (c for c in cfg.rolling_columns if c in last.columns):
+def stand_ins(df: DataFrame, cfg: FeatureConfig) -> dict[str, Column]:
+    """Deviations and lags by name, assumed where ``n_history`` is too short; a deviation that cannot be computed is 0."""
+    n, out = F.col("n_history"), {}
+    for c in (c for c in cfg.rolling_columns if c in df.columns):
         for k in cfg.windows:
-            real = F.coalesce(F.col(f"{c}_std_{k}"), F.lit(0.0))
-            replaced[f"{c}_std_{k}"] = F.when(n < _MIN_HISTORY, cold_std(c, k)).otherwise(real) \
-                if cold_start else real
-    for c in (c for c in cfg.lag_columns if c in last.columns):
+            out[f"{c}_std_{k}"] = F.when(n < _MIN_HISTORY, cold_std(c, k)).otherwise(
+                F.coalesce(F.col(f"{c}_std_{k}"), F.lit(0.0)))
+    for c in (c for c in cfg.lag_columns if c in df.columns):
         for p in cfg.lag_periods:
-            if cold_start:
-                replaced[f"{c}_lag_{p}"] = F.when(n > p, F.col(f"{c}_lag_{p}")).otherwise(cold_lag(c, p))
+            out[f"{c}_lag_{p}"] = F.when(n > p, F.col(f"{c}_lag_{p}")).otherwise(cold_lag(c, p))
+    return out
+
+
+def _finish(last: DataFrame, cfg: FeatureConfig, cold_start: bool) -> DataFrame:
+    n = F.col("n_history")
+    replaced = stand_ins(last, cfg) if cold_start else {
+        f"{c}_std_{k}": F.coalesce(F.col(f"{c}_std_{k}"), F.lit(0.0))
+        for c in cfg.rolling_columns if c in last.columns for k in cfg.windows}
     rate = F.coalesce(F.greatest(F.col("_step"), F.lit(0.0)), F.lit(0.0))
     if cold_start:
         rate = F.when(n < 2, cold_wear_rate(F.col("tool_wear_min"))).otherwise(rate)

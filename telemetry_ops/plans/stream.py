@@ -10,7 +10,7 @@ from telemetry_ops.config import FeatureConfig
 from telemetry_ops.operators import align as al, drift, features as f
 from telemetry_ops.operators.scan import positions
 from telemetry_ops.plans import quality as pq
-from telemetry_ops.plans.common import SYSTEM_NAMES, r, rounded, sql, sql_time, text_time
+from telemetry_ops.plans.common import HISTORY, SYSTEM_NAMES, r, rounded, sql, sql_time, text_time
 from telemetry_ops.plans.feature import _KEPT, _CROSS, _LAGS, _MEANS, _STDS, _STRESS
 from telemetry_ops.plans.feature import r as off_tie, rounded as off_tie_df
 from telemetry_ops.scratch import new_path, written
@@ -95,6 +95,15 @@ def _features(spark, d):
     return off_tie_df(out.drop("timestamp"))
 
 
+def _history(spark, d):
+    """Rows that are final after the watermark."""
+    aligned = al.align(t.system(spark, d), t.application(spark, d))
+    with stateful.rocksdb(spark):
+        out = _run(spark, stateful.stream_history(_source(spark, aligned), dataclasses.replace(
+            FeatureConfig(), stress_scope="fixed"), cold_start=False))
+    return off_tie_df(out.drop("timestamp"))
+
+
 def _align(spark, d):
     system = _source(spark, t.system(spark, d).select("event_id", "timestamp", "machine_id", "torque_Nm"))
     app = t.application(spark, d).select("timestamp", "machine_id", "error_rate_pct").withColumn(
@@ -167,6 +176,10 @@ QUERIES = {
     "stream_features": (_features, sql(
         f"SELECT event_id, {_PLAIN}, {off_tie(*_MEANS, *_STDS, *_LAGS, *_CROSS)}, {_STRESS.format(limit=40)} "
         "AS error_under_stress FROM fx_filled", "fx_filled")),
+    "stream_history": (_history, sql(
+        f"SELECT * EXCLUDE (_t) FROM (SELECT event_id, timestamp AS _t, row_number() OVER ({HISTORY}) AS n_history, {_PLAIN}, "
+        f"{off_tie(*_MEANS, *_STDS, *_LAGS, *_CROSS)}, {_STRESS.format(limit=40)} AS error_under_stress FROM fx_filled) "
+        "WHERE _t <= (SELECT max(timestamp) FROM fx_filled) - INTERVAL 10 minutes", "fx_filled")),
     "stream_alert_sink": (_alert_sink, sql("SELECT id, machine_id, risk_level FROM fx_alerts", "fx_alerts")),
     "stream_align": (_align, sql(
         f"SELECT s.event_id, s.machine_id, {r('s.torque_Nm AS torque_Nm', 'a.error_rate_pct AS error_rate_pct')} FROM fx_system s "

@@ -84,60 +84,74 @@ def stream_ema(reports: DataFrame, stream_name: str, alpha: float = 0.3) -> Data
         "NoTimeout")
 
 
+class History:
+    """How history features of one machine go on from its kept rows to new ones; shared by the streaming forms."""
+
+    def __init__(self, df: DataFrame, cfg: FeatureConfig):
+        self.cfg = cfg
+        self.fill = [c for c in cfg.fill_columns if c in df.columns]
+        self.columns = [c for c in cfg.rolling_columns if c in df.columns]
+        self.lagged = [c for c in cfg.lag_columns if c in df.columns]
+        numeric = set(self.columns) | set(self.fill)
+        self.base = df.select(*[F.col(c).cast("double").alias(c) if c in numeric else F.col(c) for c in df.columns]) \
+            .withColumn(features.POWER, features.power())
+        self.passthrough = self.base.columns
+        periods = sorted({*cfg.lag_periods, 1})
+        lag_all = self.lagged + ([] if "tool_wear_min" in self.lagged else ["tool_wear_min"])
+        self.keep = sorted(numeric | set(lag_all) | {features.POWER})
+        self.function = features.history_function(
+            "_one", "_pos", "_pos", self.fill, [(self.columns, tuple(cfg.windows)), ([features.POWER], (12,))], lag_all, periods,
+            self.keep)
+        self.names = [f"{c}_{s}_{k}" for c in self.columns for k in cfg.windows for s in ("mean", "std")]
+        self.made = [*self.names, *[f"{features.POWER}_{s}_12" for s in ("mean", "std")],
+                     *[f"{c}_lag_{p}" for c in lag_all for p in periods]]
+        self.fields = list(self.base.schema.fields)
+
+    def advance(self, new: pd.DataFrame, kept: list) -> tuple[pd.DataFrame, list]:
+        """``new`` (in order) with its features, and the rows to keep; ``kept`` are the rows before."""
+        old = pd.DataFrame(kept, columns=self.keep, dtype="float64")
+        both = pd.concat([old, new], ignore_index=True)[self.passthrough]
+        filled = both[self.keep].copy()
+        if self.fill:
+            filled[self.fill] = filled[self.fill].ffill()
+        table = pa.Table.from_pandas(both[self.keep].astype("float64"), preserve_index=False)
+        table = table.append_column("_one", pa.array(np.zeros(len(both), "int64")))
+        table = table.append_column("_pos", pa.array(np.arange(len(both))))
+        fresh = self.function(table).to_pandas().iloc[len(old):].reset_index(drop=True)
+        rows = pd.concat([new[[c for c in new.columns if c not in fresh.columns]].reset_index(drop=True), fresh], axis=1)
+        tail = filled.tail(self.cfg.back + 1).astype(object)
+        return rows, tail.where(tail.notna(), None).to_numpy().tolist()
+
+    def finished(self, done: DataFrame, keep=()) -> DataFrame:
+        expected = F.col(f"{features.POWER}_mean_12")
+        return done.select(
+            *self.passthrough, *keep, *self.names, *[f"{c}_lag_{p}" for c in self.lagged for p in self.cfg.lag_periods],
+            expected.alias("expected_power_W"),
+            features.deviation(F.col(features.POWER), expected).alias("power_anomaly_score"),
+            features.wear_step(F.col("tool_wear_min"), F.col("tool_wear_min_lag_1")).alias("tool_wear_rate"),
+            features.thermal_efficiency().alias("thermal_efficiency_idx"),
+            features.under_stress(F.lit(self.cfg.stress_fixed)).alias("error_under_stress"))
+
+
 def stream_features(df: DataFrame, cfg: FeatureConfig | None = None) -> DataFrame:
     """History features per machine; the state keeps the last 36 rows of each machine, with forward-filled values.
 
     ``df`` is the aligned telemetry. Emits every row once, with the same columns as the batch features (stress uses
     the fixed limit). Rows that arrive before an already processed time are treated as newest, never re-emitted.
     """
-    cfg = cfg or FeatureConfig(stress_scope="fixed")
-    fill = [c for c in cfg.fill_columns if c in df.columns]
-    columns = [c for c in cfg.rolling_columns if c in df.columns]
-    lagged = [c for c in cfg.lag_columns if c in df.columns]
-    base = df.select(*[F.col(c).cast("double").alias(c) if c in set(columns) | set(fill) else F.col(c)
-                       for c in df.columns]).withColumn("instantaneous_power_W", features.power())
-    passthrough = base.columns
-    periods = sorted({*cfg.lag_periods, 1})
-    lag_all = lagged + ([] if "tool_wear_min" in lagged else ["tool_wear_min"])
-    keep = sorted(set(columns) | set(fill) | set(lag_all) | {features.POWER})
-    history = features.history_function("_one", "_pos", "_pos", fill, [(columns, tuple(cfg.windows)), ([features.POWER], (12,))],
-                                        lag_all, periods, keep)
-    names = [f"{c}_{s}_{k}" for c in columns for k in cfg.windows for s in ("mean", "std")]
-    names += [f"{features.POWER}_{s}_12" for s in ("mean", "std")]
-    names += [f"{c}_lag_{p}" for c in lag_all for p in periods]
-    schema = T.StructType(list(base.schema.fields) + [T.StructField(n, T.DoubleType()) for n in names])
+    plan = History(df, cfg or FeatureConfig(stress_scope="fixed"))
+    schema = T.StructType(plan.fields + [T.StructField(n, T.DoubleType()) for n in plan.made])
     state_schema = T.StructType([T.StructField("rows", T.ArrayType(T.ArrayType(T.DoubleType())))])
+    order = [plan.cfg.time, plan.cfg.rid]
+    base, plan.base = plan.base, None  # tasks are sent the rest
 
     def step(key, batches, state):
-        new = pd.concat(list(batches)).sort_values([cfg.time, cfg.rid], kind="stable")
-        old = pd.DataFrame(state.get[0] if state.exists else [], columns=keep, dtype="float64")
-        n_old = len(old)
-        both = pd.concat([old, new], ignore_index=True)[passthrough]
-        filled = both[keep].copy()
-        if fill:
-            filled[fill] = filled[fill].ffill()
-        table = pa.Table.from_pandas(both[keep].astype("float64"), preserve_index=False)
-        table = table.append_column("_one", pa.array(np.zeros(len(both), "int64")))
-        table = table.append_column("_pos", pa.array(np.arange(len(both))))
-        out = history(table).to_pandas()
-        tail = filled.tail(cfg.back + 1).astype(object)
-        state.update((tail.where(tail.notna(), None).to_numpy().tolist(),))
-        rows = new.reset_index(drop=True).copy()
-        fresh = out.iloc[n_old:].reset_index(drop=True)
-        for c in fresh.columns:
-            rows[c] = fresh[c]
-        yield rows[[f.name for f in schema.fields]]
-
-    done = base.groupBy(cfg.key).applyInPandasWithState(step, schema, state_schema, "append", "NoTimeout")
-    expected = F.col(f"{features.POWER}_mean_12")
-    return done.select(
-        *passthrough, *[f"{c}_{s}_{k}" for c in columns for k in cfg.windows for s in ("mean", "std")],
-        *[f"{c}_lag_{p}" for c in lagged for p in cfg.lag_periods],
-        expected.alias("expected_power_W"),
-        features.deviation(F.col(features.POWER), expected).alias("power_anomaly_score"),
-        features.wear_step(F.col("tool_wear_min"), F.col("tool_wear_min_lag_1")).alias("tool_wear_rate"),
-        features.thermal_efficiency().alias("thermal_efficiency_idx"),
-        features.under_stress(F.lit(cfg.stress_fixed)).alias("error_under_stress"))
+        new = pd.concat(list(batches)).sort_values(order, kind="stable")
+        rows, tail = plan.advance(new, state.get[0] if state.exists else [])
+        state.update((tail,))
+        yield rows[schema.names]
+
+    return plan.finished(base.groupBy(plan.cfg.key).applyInPandasWithState(step, schema, state_schema, "append", "NoTimeout"))
 
 
 def bin_counts(df: DataFrame, base: DataFrame, window: str, cfg: DriftConfig | None = None) -> DataFrame:

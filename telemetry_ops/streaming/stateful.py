@@ -10,12 +10,13 @@ from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor
 
-from telemetry_ops.config import QualityConfig
+from telemetry_ops.config import FeatureConfig, QualityConfig
 from telemetry_ops.operators.quality import is_outside, latency_columns
-from telemetry_ops.streaming.pipelines import WATERMARK
+from telemetry_ops.operators.serving import cold_wear_rate, stand_ins
+from telemetry_ops.streaming.pipelines import WATERMARK, History
 
 _SETTING = "spark.sql.streaming.stateStore.providerClass"
 _STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -125,3 +126,85 @@ def stream_gate(df: DataFrame, columns, window: str = "1 hour", watermark: str =
         F.col("w.start").alias("window_start"), "total_rows", "missing_counts", "out_of_bounds_counts", "latency_spikes",
         (1.0 - F.least(F.col("issues") / (F.col("total_rows") * (len(columns) + 1)), F.lit(1.0))).alias("quality_score"),
         (F.col("worst") / F.col("total_rows") * 100 <= cfg.max_missing_pct).alias("passed"))
+
+
+class _Rows(StatefulProcessor):
+    """Per machine: its last 36 rows, how many there were, and the rows that still wait for the watermark."""
+
+    def __init__(self, plan: History, slice_rows: int):
+        self.plan, self.slice_rows = plan, slice_rows
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.recent = handle.getListState("recent", "x array<double>")
+        self.seen = handle.getValueState("seen", "n long")
+        self.waiting = handle.getListState("waiting", T.StructType(self.plan.fields))
+
+    def _tuples(self, rows: pd.DataFrame) -> list[tuple]:
+        """Rows as the state takes them; pandas turns whole numbers beside missing ones into floats."""
+        def plain(field, x):
+            if pd.isna(x):
+                return None
+            if isinstance(x, pd.Timestamp):
+                return x.to_pydatetime()
+            return int(x) if isinstance(field.dataType, T.IntegralType) else x
+        columns = [[plain(field, x) for x in rows[field.name]] for field in self.plan.fields]
+        return list(zip(*columns))
+
+    def _wait(self, rows: pd.DataFrame) -> None:
+        self.handle.registerTimer(int(rows[self.plan.cfg.time].min().timestamp() * 1000) + 1)
+
+    def handleInputRows(self, key, rows, timerValues):
+        for part in rows:
+            part = part[self.plan.passthrough]
+            self.waiting.appendList(self._tuples(part))
+            self._wait(part)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        cfg = self.plan.cfg
+        rows = pd.DataFrame(list(self.waiting.get()), columns=self.plan.passthrough)
+        now = timerValues.getCurrentWatermarkInMs()
+        final = rows[cfg.time].map(lambda at: at.timestamp() * 1000 <= now).astype(bool)
+        left = rows[~final]
+        if len(left):
+            self.waiting.put(self._tuples(left))
+            self._wait(left)
+        else:
+            self.waiting.clear()
+        ready = rows[final].sort_values([cfg.time, cfg.rid], kind="stable")
+        kept, seen = [r[0] for r in self.recent.get()], self.seen.get()[0] if self.seen.exists() else 0
+        for start in range(0, len(ready), self.slice_rows):
+            out, kept = self.plan.advance(ready.iloc[start:start + self.slice_rows], kept)
+            out["n_history"] = np.arange(seen + 1, seen + len(out) + 1)
+            seen += len(out)
+            yield out[[*self.plan.passthrough, "n_history", *self.plan.made]]
+        if len(ready):
+            self.recent.put([(row,) for row in kept])
+            self.seen.update((seen,))
+
+    def close(self) -> None:
+        pass
+
+
+def stream_history(df: DataFrame, cfg: FeatureConfig | None = None, watermark: str = WATERMARK, cold_start: bool = True,
+                   slice_rows: int = 5000) -> DataFrame:
+    """History features in event-time order: a row is final once the watermark has passed it.
+
+    Rows of a machine wait in state until then, so they may come in any order; a row after the watermark is left out and
+    counted. ``n_history`` numbers a machine's rows; with ``cold_start`` its first rows get the stand-ins of the serving
+    features. A call works on at most ``slice_rows`` rows at a time. State: 36 rows a machine, and the rows of the
+    watermark's span.
+    """
+    plan = History(df, cfg or FeatureConfig(stress_scope="fixed"))
+    base, plan.base = plan.base, None  # tasks are sent the rest
+    schema = T.StructType([*plan.fields, T.StructField("n_history", T.LongType()),
+                           *[T.StructField(n, T.DoubleType()) for n in plan.made]])
+    done = plan.finished(base.withWatermark(plan.cfg.time, watermark).groupBy(plan.cfg.key).transformWithStateInPandas(
+        _Rows(plan, slice_rows), schema, "append", "EventTime"), ["n_history"])
+    if not cold_start:
+        return done
+    replaced = stand_ins(done, plan.cfg)
+    rate = F.when(F.col("n_history") < 2, cold_wear_rate(F.col("tool_wear_min"))).otherwise(
+        F.coalesce("tool_wear_rate", F.lit(0.0)))
+    return done.withColumns({**replaced, "tool_wear_rate": rate})

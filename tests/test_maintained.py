@@ -1,13 +1,17 @@
 """Maintained tables and stateful streams against recomputation from scratch."""
 
+import dataclasses
+import datetime
 import glob
 import os
 import random
 
-import pytest
+import numpy as np
 from pyspark.sql import Window, functions as F
 
-from telemetry_ops.operators import alerts as al, drift, merged, quality as q
+from telemetry_ops.config import FeatureConfig
+from telemetry_ops.operators import alerts as al, drift, merged, quality as q, serving
+from telemetry_ops.plans import feature as feature_plans
 from telemetry_ops.plans.common import SYSTEM_NAMES
 from telemetry_ops.sources import telemetry as t
 from telemetry_ops.streaming import pipelines as s, stateful
@@ -94,3 +98,36 @@ def test_streamed_gate_equals_the_batch_report(spark, tiny, tmp_path):
     want = report.where(F.col("window_start") + F.expr("INTERVAL 1 DAY") <= F.lit(end)).select(got.columns)
     rounded = lambda df: _rows(df.withColumn("quality_score", F.round("quality_score", 9)))
     assert rounded(got) == rounded(want) and got.agg(F.sum("latency_spikes")).first()[0] > 0
+
+
+def test_streamed_history_waits_for_the_watermark_and_counts_late_rows(spark, tiny, tmp_path):
+    cfg = dataclasses.replace(FeatureConfig(), fill_columns=(), stress_scope="fixed")
+    whole = feature_plans._many_machines(spark, tiny).where("event_id % 4 = 0").withColumn(
+        "timestamp", F.col("timestamp").cast("timestamp"))
+    path = str(tmp_path / "table")
+    whole.write.parquet(path)
+    whole = spark.read.parquet(path)
+    half, end = whole.agg(F.percentile_approx("timestamp", 0.5), F.max("timestamp")).first()
+    late = whole.where((F.col("timestamp") < half - datetime.timedelta(days=1)) & (F.col("event_id") % 10 == 0))
+    late_ids = [r[0] for r in late.select("event_id").collect()]
+    parts = [whole.where((F.col("timestamp") <= half) & ~F.col("event_id").isin(late_ids)),
+             whole.where(F.col("timestamp") > half).unionByName(late)]
+    incoming, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    dropped = 0
+    for part in parts:
+        part.orderBy(F.xxhash64("event_id")).coalesce(1).write.mode("append").parquet(incoming)
+        with stateful.rocksdb(spark):
+            query = s.run_available(stateful.stream_history(s.stream_source(spark, incoming, whole.schema), cfg, slice_rows=7),
+                                    out, progress)
+        dropped += s.late_rows(query)
+    assert dropped == len(late_ids) > 0
+    w = Window.partitionBy("machine_id").orderBy("timestamp", "event_id")
+    on_time = whole.where(~F.col("event_id").isin(late_ids)).withColumn("n_history", F.row_number().over(w))
+    want = serving._finish(serving.with_history_columns(on_time, cfg), cfg, True).where(
+        F.col("timestamp") <= F.lit(end - datetime.timedelta(minutes=10)))
+    got = spark.read.parquet(out).drop("batch").toPandas().sort_values("event_id").reset_index(drop=True)
+    want = want.toPandas().sort_values("event_id").reset_index(drop=True)
+    assert got["event_id"].tolist() == want["event_id"].tolist() and (got["n_history"] < 6).any()
+    for c in got.columns:
+        if got[c].dtype.kind == "f":
+            assert np.allclose(got[c].astype(float), want[c].astype(float), equal_nan=True), c
