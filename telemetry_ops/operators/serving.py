@@ -100,6 +100,11 @@ def stand_ins(df: DataFrame, cfg: FeatureConfig) -> dict[str, Column]:
     return out
 
 
+def with_stand_ins(df: DataFrame, cfg: FeatureConfig) -> DataFrame:
+    """The features of rows that carry ``n_history`` and the columns of :func:`with_history_columns`."""
+    return _finish(df, cfg, True)
+
+
 def _finish(last: DataFrame, cfg: FeatureConfig, cold_start: bool) -> DataFrame:
     n = F.col("n_history")
     replaced = stand_ins(last, cfg) if cold_start else {

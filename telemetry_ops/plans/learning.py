@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from telemetry_ops.config import TrainConfig
-from telemetry_ops.operators import align as al, anomaly as an, explain, smote as sm, train
-from telemetry_ops.plans.common import HISTORY, OFF_TIE, SENSORS, SYSTEM_NUMERIC, draw, r, rounded, sql
+from telemetry_ops.operators import align as al, anomaly as an, diagnose as dg, explain, features as f, scoring, smote as sm, train
+from telemetry_ops.plans import diagnosis as dp
+from telemetry_ops.plans.common import APPLICATION_NAMES, HISTORY, LAG_NAMES, OFF_TIE, ROLLING, SENSORS, SYSTEM_NUMERIC, draw, r, rounded, sql
 from telemetry_ops.scratch import written
 from telemetry_ops.sources import telemetry as t
 
 _SEED = 42
 _FEATURES = [c for c in SYSTEM_NUMERIC if c != "machine_failure"]
 _QUICK = TrainConfig(folds=3, max_trees=4, max_depth=3, step_size=0.3)
+_SHORT = TrainConfig(folds=2, max_trees=4, step_size=0.3)  # all features and the default depth; 500 trees take hours on one machine
 
 
 FOLDS_SQL = ("SELECT *, ((row_number() OVER (ORDER BY y, " + draw("event_id", _SEED)
@@ -97,6 +99,41 @@ def _contributions(spark, d):
     return explain.contributions(model, t.system(spark, d), _FEATURES, keep=["event_id"])
 
 
+def _scoring_job(spark, d):
+    """Facts of every accepted request: history length, a probability that both ways of scoring agree on, its level, a report."""
+    matrix = written(f.feature_matrix(t.system(spark, d), t.application(spark, d)), "matrix")
+    columns = scoring.model_columns(matrix, but=("event_id", "is_anomaly"))
+    model = train.fit_boosted(train.with_vector(matrix, columns), "machine_failure", _SHORT)
+    rows, _ = scoring.score_and_diagnose(dp._requests(spark, d), model, columns, F.lit("2024-06-01").cast("timestamp"))
+    p = F.col("failure_probability")
+    total = F.aggregate("contributions", F.lit(0.0), lambda a, c: a + c["contribution"])
+    low = F.exp(2 * (total - F.ln(p / (1 - p)) / 2))  # exp(-2 base value), equal in every row if contributions add up
+    return rows.select("event_id", "n_history", F.size("contributions").alias("n_features"), p.between(0, 1).alias("in_range"),
+                       (F.abs(low / F.lit(rows.select(low).first()[0]) - 1) < 1e-6).alias("adds_up"),
+                       (F.col("risk_level") == dg.risk_level(p)).alias("level_fits"),
+                       F.col("report_md").contains("## To do").alias("reported"))
+
+
+def _model_columns(spark, d):
+    matrix = f.feature_matrix(t.system(spark, d), t.application(spark, d))
+    return spark.createDataFrame([(c,) for c in scoring.model_columns(matrix, but=("event_id", "is_anomaly"))], "feature string")
+
+
+def _cv_facts(spark, d):
+    """Facts of cross-validation on all features of the matrix: each row once, sizes of folds, scores and trees in range."""
+    matrix = written(f.feature_matrix(t.system(spark, d), t.application(spark, d)), "matrix")
+    columns = scoring.model_columns(matrix, but=("event_id", "is_anomaly"))
+    scored, trees = train.cross_validate(matrix, "machine_failure", "event_id", columns, _SHORT)
+    scored = written(scored, "scored")
+    ranked = train.cv_summary(scored, "machine_failure", trees)
+    return scored.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("event_id").alias("n_ids"),
+        F.sum(F.col("machine_failure").cast("long")).alias("n_failures"),
+        F.bool_and(F.col("score").between(0, 1)).alias("in_range")).join(ranked.select(
+            "fold", (F.col("trees").between(1, _SHORT.max_trees)).alias("trees_fit"),
+            F.col("average_precision").between(0, 1).alias("precision_fits")), "fold")
+
+
 def _model_importance(spark, d):
     long = written(_contributions(spark, d).select("event_id", F.explode("contributions").alias("c"))
                    .select("event_id", "c.feature", "c.contribution"), "contributions")
@@ -118,6 +155,12 @@ _PAIR = ("SELECT a.{i} AS id, b.{i} AS neighbour, list_distance(a.vec, b.vec) AS
 _VEC = "SELECT vec_id, label, embedding::DOUBLE[] AS vec FROM embeddings"
 _COPY = "base_id * 1009 + copy"
 
+_MATRIX_COLUMNS = [
+    *[c for c in SYSTEM_NUMERIC if c != "machine_failure"], *[c for c in APPLICATION_NAMES if c != "is_anomaly"],
+    *[f"{c}_{s}_{k}" for c in ROLLING for k in (6, 12, 36) for s in ("mean", "std")],
+    *[f"{c}_lag_{p}" for c in LAG_NAMES for p in (1, 2, 6)], "thermal_efficiency_idx", "instantaneous_power_W", "expected_power_W",
+    "power_anomaly_score", "tool_wear_rate", "error_under_stress"]
+
 QUERIES = {
     "stratified_folds": (_folds, sql("SELECT event_id, y, fold FROM folds", "fx_scores", folds=FOLDS_SQL)),
     "nearest_neighbours": (_knn, sql(f"SELECT id, neighbour, {r('distance')}, rank FROM pairs", v=_VEC,
@@ -164,4 +207,15 @@ QUERIES = {
     "boosted_score": (_score, None),
     "feature_contributions": (_contributions, None),
     "model_importance": (_model_importance, None),
+    "model_features": (_model_columns, sql(
+        "SELECT unnest([" + ", ".join(f"'{c}'" for c in _MATRIX_COLUMNS) + "]) AS feature")),
+    "cross_validation_facts": (_cv_facts, sql(
+        "SELECT fold, count(*) AS n_rows, count(DISTINCT event_id) AS n_ids, sum(machine_failure) AS n_failures, TRUE AS in_range, "
+        "TRUE AS trees_fit, TRUE AS precision_fits FROM dealt GROUP BY fold", "fx_system",
+        dealt="SELECT *, ((row_number() OVER (ORDER BY machine_failure, " + draw("event_id", _SEED)
+              + ", event_id) - 1) % 2)::INT AS fold FROM fx_system")),
+    "score_and_diagnose": (_scoring_job, sql(
+        f"SELECT event_id, row_number() OVER ({HISTORY}) AS n_history, {len(_MATRIX_COLUMNS)} AS n_features, TRUE AS in_range, TRUE AS "
+        "adds_up, TRUE AS level_fits, TRUE AS reported FROM checked WHERE violations = ''", "fx_base", req=dp._REQ,
+        checked=dp._CHECKED)),
 }
