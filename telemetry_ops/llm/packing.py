@@ -2,10 +2,11 @@
 
 A configuration is a multiset of lengths that fits one sequence. The program covers the histogram of piece lengths
 with as few configurations as possible. Multiplicative weights solve it: each round prices every length by how little
-of it is covered, a knapsack dynamic program finds the configurations of nearly the highest price, and these cover a
-small share more of their lengths. Whole multiples of the fractional solution are kept, fullest configurations first
-and never more than the remaining histogram holds; what rounding leaves is solved again, and the last rest goes by
-best fit, longest first. If best fit alone needs fewer sequences, its packing is used.
+of it is covered, a knapsack dynamic program gives the highest price of a configuration, and configurations within a
+tolerance of that price, read off the program's table, cover a small share more of their lengths. The tolerance starts
+tight and widens when a round finds little. Whole parts of every configuration are used, waste included; what rounding
+leaves is solved again, and once little has a whole part, configurations are used once each, dearest first. Only the
+last tokens, a share of ``LAST``, go by best fit, longest first, into what the program left free or new sequences.
 
 Only the histogram (at most one count for each length up to the capacity) reaches the driver, and the plan that goes
 back is bounded by the capacity and the rounds, not by the documents. Ranks within a length come from counts by task,
@@ -35,11 +36,13 @@ from telemetry_ops.llm.common import arrow_type, slices, written
 
 CAPACITY = 1024
 END_ID = 2
-ROUNDS = 60  # of pricing, in each solution
 STEP = 0.1  # share of a length that one round may cover
-NEAR = 0.3  # configurations are used whose price is within this share of the highest
-RATE = 2.0  # of the prices' fall with cover
-PHASES = 4
+NEAR = 0.001  # tolerance of the first round: share of the highest price that a configuration may fall short of
+RATE = 1.0  # of the prices' fall with cover
+UNDONE = 0.02  # share of the program's sequences, the cheapest, that best fit packs again
+SHARE = 0.6  # of a solution that is rounded before the rest is solved again
+FILL = 0.1  # weight of plain lengths in the first prices, so that full configurations win among equals
+LAST = 0.03  # share of the tokens that best fit packs
 
 
 # -- tokenising ---------------------------------------------------------------------------------------------------
@@ -145,9 +148,12 @@ def token_pieces(docs: DataFrame, text: str, key: str, capacity: int, tokenizer:
 # -- the plan -----------------------------------------------------------------------------------------------------
 
 
-def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
-    """Best fit of the longest first, for whole runs of equal sequences: (configuration, number of sequences)."""
-    groups: list[list] = []  # [free, configuration, number]
+def best_fit(counts: dict[int, int], capacity: int, begun=()) -> list[tuple[dict[int, int], int]]:
+    """Best fit of the longest first, for whole runs of equal sequences: (configuration, number of sequences).
+
+    Sequences already ``begun`` are filled further.
+    """
+    groups = [[capacity - sum(x * k for x, k in c.items()), c, n] for c, n in begun]  # [free, configuration, number]
     for length in sorted(counts, reverse=True):
         left = counts[length]
         while left:
@@ -167,87 +173,132 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int]
     return [(config, number) for _, config, number in groups]
 
 
-def knapsack(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Highest price of lengths (each used any number of times) within every capacity, and the length taken last."""
-    best, taken = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
+def knapsack(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> np.ndarray:
+    """Highest price of lengths (each used any number of times) within every capacity."""
+    best = np.zeros(capacity + 1)
     for c in range(1, capacity + 1):
         n = np.searchsorted(lengths, c, side="right")
-        best[c] = best[c - 1]
-        if n:
-            worth = prices[:n] + best[c - lengths[:n]]
-            i = int(worth.argmax())
-            if worth[i] > best[c]:
-                best[c], taken[c] = worth[i], lengths[i]
-    return best, taken
+        best[c] = max(best[c - 1], (prices[:n] + best[c - lengths[:n]]).max() if n else 0.0)
+    return best
+
+
+def first_prices(lengths: np.ndarray, n: np.ndarray, capacity: int) -> np.ndarray:
+    """Prices no configuration of which exceeds 1, with the highest worth of the histogram: for some t, lengths that
+    leave less than t count as whole sequences, lengths under t as nothing, others by their share of the capacity."""
+    share = lengths / capacity
+    choices = [share, *(np.where(lengths > capacity - t, 1.0, np.where(lengths >= t, share, 0.0))
+                        for t in range(1, capacity // 2 + 1))]
+    return max(choices, key=lambda prices: float(n @ prices))
 
 
-def fractional(counts: dict[int, int], capacity: int, rounds: int = ROUNDS, step: float = STEP) -> dict:
-    """Multiplicative weights for the configuration program: configuration (sorted (length, number) pairs) -> amount.
+def fractional(counts: dict[int, int], capacity: int) -> tuple[dict, dict[int, float], float]:
+    """Multiplicative weights for the configuration program: amounts by configuration (sorted (length, number) pairs),
+    which together cover ``counts`` exactly, the first prices, and a number of sequences that no packing can go below.
 
-    Prices fall exponentially with cover, so the scarcest lengths are bought first; every length that is still open
-    names the configuration of the highest price that holds it, and those near the optimum are used.
+    Prices fall exponentially with cover, so the scarcest lengths are bought first. A configuration starts with the
+    longest piece that is left and adds lengths whose loss against the best price of the room stays in the tolerance,
+    long ones first (short ones are easily placed later); every configuration uses up the round's share of a length, so a round has at most as many
+    as there are lengths.
     """
     lengths = np.array(sorted(counts))
     n = np.array([counts[x] for x in lengths.tolist()], float)
-    place = {x: i for i, x in enumerate(lengths.tolist())}
-    covered, amount = np.zeros(len(lengths)), {}
-    for _ in range(rounds):
-        open_ = covered < 1 - 1e-9
-        if not open_.any():
-            break
-        live = lengths[open_]
-        prices = live * np.exp(-RATE * (covered[open_] - covered[open_].min()))
-        best, taken = knapsack(live, prices, capacity)
-        worth = prices + best[capacity - live]
-        used = np.zeros(len(lengths))
-        for i in np.argsort(-worth, kind="stable").tolist():
-            if worth[i] < (1 - NEAR) * best[capacity]:
-                break
-            config, room = Counter([int(live[i])]), capacity - int(live[i])
-            while room > 0:
-                if taken[room]:
-                    config[int(taken[room])] += 1
-                    room -= int(taken[room])
-                else:
-                    room -= 1
-            at = [place[x] for x in config]
-            share = np.array([config[x] for x in config]) / n[at]
-            size = (np.minimum(step - used[at], 1 - covered[at]) / share).min()
-            if size <= 1e-9:
-                continue
-            used[at] += size * share
-            covered[at] += size * share
-            key = tuple(sorted(config.items()))
-            amount[key] = amount.get(key, 0.0) + size
-    return amount
-
-
-def rounded(amount: dict, counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
-    """Whole multiples of a fractional solution, without waste; takes what they hold out of ``counts``.
-
-    Configurations that leave tokens free are not rounded: their lengths are priced again in the next phase.
+    base = first_prices(lengths, n, capacity)
+    bound, base = float(n @ base), (1 - FILL) * base + FILL * lengths / capacity
+    covered, near, amount = np.zeros(len(lengths)), NEAR, {}
+    while (open_ := np.flatnonzero(covered < 1 - 1e-9)).size:
+        live, held, cover = lengths[open_], n[open_], covered[open_]
+        prices = base[open_] * np.exp(-RATE * (cover - cover.min()))
+        best = knapsack(live, prices, capacity)
+        highest = best[capacity]
+        bound = max(bound, float(held @ prices) / highest)
+        supply = np.minimum(STEP, 1 - cover) * held
+        left, least = supply.copy(), 1e-9 * supply
+        for i in range(len(live) - 1, -1, -1):
+            while left[i] > least[i]:
+                used, room = np.zeros(len(live)), capacity - int(live[i])
+                used[i] = 1
+                slack = near * highest - (highest - prices[i] - best[room]) + 1e-12
+                while slack >= 0 and room >= live[0]:
+                    m = int(np.searchsorted(live, room, side="right"))
+                    loss = best[room] - prices[:m] - best[room - live[:m]]
+                    fits = np.flatnonzero((loss <= slack) & (left[:m] > least[:m]) & (used[:m] < held[:m]))
+                    if not fits.size:
+                        break
+                    j = int(fits[np.argmin(loss[fits] / (near * highest) - live[fits] / room)])
+                    used[j] += 1
+                    slack -= loss[j]
+                    room -= int(live[j])
+                if slack < best[room]:
+                    break
+                at = np.flatnonzero(used)
+                size = float((left[at] / used[at]).min())
+                left[at] -= size * used[at]
+                config = tuple(zip(live[at].tolist(), used[at].astype(int).tolist()))
+                amount[config] = amount.get(config, 0.0) + size
+        covered[open_] += (supply - left) / held
+        if (supply - left) @ live < 0.25 * (supply @ live):
+            near *= 2
+    return amount, dict(zip(lengths.tolist(), base.tolist())), bound
+
+
+def rounded(amount: dict, prices: dict[int, float], counts: dict[int, int]) -> list[tuple[dict[int, int], int]]:
+    """Whole multiples of a fractional solution; takes what they hold out of ``counts``.
+
+    The first ``SHARE`` of the solution is used, in the order found. If whole parts are under a fifth of it,
+    configurations are used once, the dearest by ``prices`` first, then by amount. At least one is used.
     """
     out = []
-    full = [c for c in amount if sum(x * k for x, k in c) == capacity]
-    for config in sorted(full, key=lambda c: (-amount[c], c)):
-        number = min(int(amount[config] + 1e-9), *(counts.get(x, 0) // k for x, k in config))
-        if number:
+
+    def use(config, number):
+        number = min(number, *(counts[x] // k for x, k in config))
+        if number > 0:
             out.append((dict(config), number))
             for x, k in config:
                 counts[x] -= number * k
+        return number
+
+    total = sum(amount.values())
+    wanted = SHARE * total
+    for config in amount:  # in the order found, so under the tightest tolerance first
+        if wanted > 0:
+            wanted -= use(config, int(amount[config] + 1e-9))
+    if wanted > (SHARE - 0.2) * total:
+        for config in sorted(amount, key=lambda c: (-sum(prices[x] * k for x, k in c), -amount[c], c)):
+            if wanted > 0:
+                wanted -= use(config, 1)
     return out
 
 
+def plan_parts(counts: dict[int, int], capacity: int) -> tuple[list[tuple[dict[int, int], int]], int, float]:
+    """Configurations with their numbers of sequences, how many sequences the program began (best fit fills those
+    further before it begins others), and the program's lower bound on all sequences."""
+    left = {x: n for x, n in counts.items() if n}
+    program, bound = [], 0.0
+    prices = None
+    least = LAST * sum(x * n for x, n in left.items())
+    while sum(x * n for x, n in left.items()) > least:
+        amount, phase, lower = fractional(left, capacity)
+        prices = prices or phase
+        bound = bound or lower  # of the first solution, which holds all lengths
+        program += rounded(amount, phase, left)
+        left = {x: n for x, n in left.items() if n}
+    worth = prices
+    undo = int(UNDONE * sum(n for _, n in program))
+    kept = []
+    for config, number in sorted(program, key=lambda p: sum(worth[x] * k for x, k in p[0].items())):
+        again = min(number, undo)
+        undo -= again
+        for x, k in config.items():
+            if again:
+                left[x] = left.get(x, 0) + k * again
+        if number > again:
+            kept.append((config, number - again))
+    return best_fit(left, capacity, kept), sum(n for _, n in kept), bound
+
+
 def plan_sequences(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
     """Configurations and how many sequences follow each; together they hold exactly ``counts``."""
-    left, out = {x: n for x, n in counts.items() if n}, []
-    for _ in range(PHASES):
-        if left:
-            out += rounded(fractional(left, capacity), left, capacity)
-            left = {x: n for x, n in left.items() if n}
-    out += best_fit(left, capacity)
-    plain = best_fit({x: n for x, n in counts.items() if n}, capacity)
-    return min(out, plain, key=lambda plan: sum(n for _, n in plan))
+    return plan_parts(counts, capacity)[0]
 
 
 def slots(plan: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:

@@ -370,6 +370,35 @@ def test_trigram_queries_hold_for_matches():
     assert secret_scan.trigram_query("(abcd|xyz)q?") == [[frozenset({"abc", "bcd"}), frozenset({"xyz"})]]
 
 
+def _histograms():
+    rng = np.random.default_rng(1)
+    spread = Counter(np.clip(rng.lognormal(5.5, 0.8, 20000).astype(int), 1, 1023).tolist())
+    yield "spread", spread, 1.002
+    yield "few", Counter(np.clip(rng.lognormal(5.5, 0.8, 1300).astype(int), 1, 1023).tolist()), 1.01
+    yield "one hot length", Counter({300: 20000}), 1.001
+    yield "tens", Counter((10 * rng.integers(1, 102, 20000)).tolist()), 1.005
+    yield "three lengths", Counter({700: 5000, 333: 9000, 97: 3000}), 1.01
+    yield "hot among others", spread + Counter({610: 10000}), 1.005
+    yield "one piece", Counter({5: 1}), 200
+
+
+@pytest.mark.parametrize("name, counts, within", list(_histograms()), ids=lambda x: x if isinstance(x, str) else "")
+def test_sequences_come_from_the_program(name, counts, within):
+    plan, own, bound = packing.plan_parts(dict(counts), 1024)
+    held = Counter()
+    for config, number in plan:
+        assert number > 0 and sum(x * k for x, k in config.items()) <= 1024
+        held.update({x: k * number for x, k in config.items()})
+    assert held == counts
+    total = sum(n for _, n in plan)
+    assert own > 0.95 * total and bound <= total + 1e-6 and total <= math.ceil(bound) * within + 1
+    assert bound >= sum(x * n for x, n in counts.items()) / 1024 - 1e-6
+
+
+def test_no_lengths_need_no_sequences():
+    assert packing.plan_sequences({}, 1024) == [] == packing.plan_sequences({7: 0}, 1024)
+
+
 def test_packing_is_gapless_and_whole(spark, tiny):
     df = spark.read.parquet(f"{tiny}/documents.parquet").unionByName(
         spark.read.parquet(f"{tiny}/documents.parquet").withColumn("doc_id", F.col("doc_id") + 10**6))
