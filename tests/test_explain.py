@@ -1,5 +1,6 @@
 import itertools
 import math
+import random
 
 import numpy as np
 import pandas as pd
@@ -149,3 +150,12 @@ def test_folds_are_balanced(spark, tiny):
 def test_sampled_importance_uses_whole_rows(spark, tiny):
     long = t.contributions_long(spark, tiny)
     assert ex.global_importance(long, "row_id", sample=10).count() == 4
+
+
+def test_the_longest_bar_is_whole_when_means_are_summed_anew(spark):
+    """Every evaluation of the table gives other last digits, as sums in another order do."""
+    drawn = F.udf(lambda i: 1.0 + i + random.random() * 1e-9, "double").asNondeterministic()
+    importance = spark.range(6, numPartitions=3).select(F.concat(F.lit("f"), "id").alias("feature"), drawn("id").alias("importance"))
+    for _ in range(4):
+        rows = ex.top_features(importance, n=4).collect()
+        assert [r["feature"] for r in rows] == ["f5", "f4", "f3", "f2"] and rows[0]["bar"] == 30
