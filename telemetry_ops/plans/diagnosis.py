@@ -22,7 +22,7 @@ _READINGS = [c for c in t.APPLICATION if " AS timestamp" not in c and "AS machin
 
 
 def _input(spark, d):
-    base = t.base(spark, d)
+    base = t.spread(t.base(spark, d), "event_id")
     df = base.selectExpr("k", "value", *t.SYSTEM, *_READINGS, _PROBABILITY)
     return df.withColumn("contributions", ex.contribution_array(df, _CONTRIBS)).drop("k", "value")
 
