@@ -14,6 +14,7 @@ from telemetry_ops.plans.common import (
     APPLICATION_NAMES, CHUNK, HISTORY, LAG_NAMES, OFF_TIE, ROLLING, SYSTEM_NAMES, sql,
 )
 from telemetry_ops.plans import common
+from telemetry_ops.scratch import written
 from telemetry_ops.sources import telemetry as t
 
 rounded = functools.partial(common.rounded, nudge=OFF_TIE)
@@ -45,30 +46,42 @@ def _forward_fill_blocks(spark, d):
     return rounded(filled.select("event_id", *APPLICATION_NAMES))
 
 
+def _in_blocks(spark, d, work):
+    """``work(filled rows, key, order)`` on blocks with history, so that no window holds a whole machine."""
+    cut = al.filled_history_blocks(_aligned(spark, d), *_ORDER, _CFG.fill_columns, _CFG.back, _CFG.block_rows)
+    return work(cut, ["_block", "machine_id"], "_pos").where(~F.col("_ghost"))
+
+
 def _rolling_mean(spark, d):
-    df = f.rolling(_filled(spark, d), *_ORDER, ROLLING)
+    df = _in_blocks(spark, d, lambda df, key, at: f.rolling(df, key, at, at, ROLLING))
     return rounded(df.select("event_id", *[c for c in df.columns if "_mean_" in c]))
 
 
 def _rolling_std(spark, d):
-    df = f.rolling(_filled(spark, d), *_ORDER, ROLLING)
+    df = _in_blocks(spark, d, lambda df, key, at: f.rolling(df, key, at, at, ROLLING))
     return rounded(df.select("event_id", *[c for c in df.columns if "_std_" in c]))
 
 
 def _lags(spark, d):
-    df = f.lags(_filled(spark, d), *_ORDER, LAG_NAMES)
+    df = _in_blocks(spark, d, lambda df, key, at: f.lags(df, key, at, at, LAG_NAMES))
     return rounded(df.select("event_id", *[c for c in df.columns if "_lag_" in c]))
 
 
 def _cross(spark, d):
-    return rounded(f.cross_domain(_filled(spark, d), _CFG).select("event_id", *_DERIVED, "error_under_stress"))
+    df = _in_blocks(spark, d, lambda df, key, at: f.cross_domain(df, dataclasses.replace(
+        _CFG, key=key, time=at, rid=at, error_stress=False)))
+    df = f.with_stress_flag(df, _CFG, source=t.system(spark, d))
+    return rounded(df.select("event_id", *_DERIVED, "error_under_stress"))
 
 
 def _stress_scopes(spark, d):
-    df = _filled(spark, d).join(scan.chunk_ids(t.system(spark, d).select("event_id", "timestamp"), "timestamp",
-                                               "event_id", CHUNK).select("event_id", "chunk_id"), "event_id")
+    """The few columns the flags read are filled and numbered once; limits come from the raw table."""
+    few = _aligned(spark, d).select(*_ORDER, "torque_Nm", "error_rate_pct")
+    filled = al.forward_fill_blocks(few, *_ORDER, ["error_rate_pct"], _CFG.block_rows)
+    chunks = written(scan.chunk_ids(t.system(spark, d).select(*_ORDER, "torque_Nm"), "timestamp", "event_id", CHUNK), "chunks")
+    df = filled.join(chunks.select("event_id", "chunk_id"), "event_id")
     for scope in ("machine", "global", "chunk", "fixed"):
-        df = f.with_stress_flag(df, _CFG, scope).withColumnRenamed("error_under_stress", f"stress_{scope}")
+        df = f.with_stress_flag(df, _CFG, scope, source=chunks).withColumnRenamed("error_under_stress", f"stress_{scope}")
     return df.select("event_id", "stress_machine", "stress_global", "stress_chunk", "stress_fixed")
 
 
