@@ -9,6 +9,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from telemetry_ops.config import DriftConfig, FeatureConfig, QualityConfig
@@ -20,6 +21,7 @@ from telemetry_ops.operators.scan import exact_percentiles
 from telemetry_ops.operators.quality import bounds_bit, is_outside, missing_bit
 
 WATERMARK = "10 minutes"
+SLICE_ROWS = 5000  # rows whose features are made at a time
 
 
 def stream_source(spark: SparkSession, path: str, schema: T.StructType, kind: str = "parquet",
@@ -84,6 +86,16 @@ def stream_ema(reports: DataFrame, stream_name: str, alpha: float = 0.3) -> Data
         "NoTimeout")
 
 
+def arrow_column(values: pd.Series, kind: T.DataType) -> pa.Array:
+    """A pandas column as the Arrow column of its Spark type."""
+    if isinstance(kind, T.IntegralType):
+        return pc.cast(pa.array(values, from_pandas=True), pa.int64())
+    if isinstance(kind, T.TimestampType):
+        return pc.cast(pa.array(values, from_pandas=True), pa.timestamp("us"))
+    plain = {T.DoubleType: pa.float64(), T.StringType: pa.string(), T.BooleanType: pa.bool_()}.get(type(kind))
+    return pa.array(values, plain, from_pandas=True)
+
+
 class History:
     """How history features of one machine go on from its kept rows to new ones; shared by the streaming forms."""
 
@@ -107,6 +119,18 @@ class History:
                      *[f"{c}_lag_{p}" for c in lag_all for p in periods]]
         self.fields = list(self.base.schema.fields)
 
+    def packed(self, part: pd.DataFrame) -> pa.Table:
+        """Rows as typed columns; pandas turns whole numbers beside missing ones into floats."""
+        return pa.table([arrow_column(part[f.name], f.dataType) for f in self.fields], names=self.passthrough)
+
+    def slices(self, parts: list, rows: int = SLICE_ROWS):
+        """Tables of one machine, as frames of so many rows in (time, row id) order. ``parts`` is emptied."""
+        table = pa.concat_tables(parts).combine_chunks()
+        parts.clear()
+        order = pc.sort_indices(table, [(self.cfg.time, "ascending"), (self.cfg.rid, "ascending")])
+        for start in range(0, len(order), rows):
+            yield table.take(order[start:start + rows]).to_pandas()
+
     def advance(self, new: pd.DataFrame, kept: list) -> tuple[pd.DataFrame, list]:
         """``new`` (in order) with its features, and the rows to keep; ``kept`` are the rows before."""
         old = pd.DataFrame(kept, columns=self.keep, dtype="float64")
@@ -137,19 +161,20 @@ def stream_features(df: DataFrame, cfg: FeatureConfig | None = None) -> DataFram
     """History features per machine; the state keeps the last 36 rows of each machine, with forward-filled values.
 
     ``df`` is the aligned telemetry. Emits every row once, with the same columns as the batch features (stress uses
-    the fixed limit). Rows that arrive before an already processed time are treated as newest, never re-emitted.
+    the fixed limit). Rows that arrive before an already processed time are treated as newest, never re-emitted. Of a
+    machine's rows in a micro-batch a task holds what came in, as typed columns; features are made ``SLICE_ROWS`` rows at a time.
     """
     plan = History(df, cfg or FeatureConfig(stress_scope="fixed"))
     schema = T.StructType(plan.fields + [T.StructField(n, T.DoubleType()) for n in plan.made])
     state_schema = T.StructType([T.StructField("rows", T.ArrayType(T.ArrayType(T.DoubleType())))])
-    order = [plan.cfg.time, plan.cfg.rid]
     base, plan.base = plan.base, None  # tasks are sent the rest
 
     def step(key, batches, state):
-        new = pd.concat(list(batches)).sort_values(order, kind="stable")
-        rows, tail = plan.advance(new, state.get[0] if state.exists else [])
-        state.update((tail,))
-        yield rows[schema.names]
+        tail = state.get[0] if state.exists else []
+        for new in plan.slices([plan.packed(part) for part in batches]):
+            rows, tail = plan.advance(new, tail)
+            state.update((tail,))
+            yield rows[schema.names]
 
     return plan.finished(base.groupBy(plan.cfg.key).applyInPandasWithState(step, schema, state_schema, "append", "NoTimeout"))
 

@@ -2,6 +2,7 @@ import dataclasses
 import shutil
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from telemetry_ops.config import FeatureConfig
 from telemetry_ops.operators import align as al, features as f
 from telemetry_ops.operators.scan import positions
 from telemetry_ops.sources import telemetry as t
-from telemetry_ops.streaming import pipelines as s
+from telemetry_ops.streaming import pipelines as s, stateful
 
 CFG = dataclasses.replace(FeatureConfig(), stress_scope="fixed")
 
@@ -73,3 +74,61 @@ def test_aligned_stream_keeps_rows_without_a_partner(spark, tmp_path):
     # all partners are found; rows without one appear once the watermark (08:00 less 10 minutes) has passed them
     assert {i: v for i, v in got.items() if v is not None} == {i: float(i) for i in range(0, 10, 2)}
     assert {i for i, v in got.items() if v is None} == {1, 3, 5, 7}
+
+
+class _Store:
+    """The states and timers a processor asks for, in memory."""
+
+    def __init__(self):
+        self.timers, self.reads = [], 0
+
+    def getMapState(self, *_):
+        store, held = self, {}
+
+        class Entries:
+            updateValue = staticmethod(lambda key, value: held.__setitem__(key, value))
+            removeKey = staticmethod(lambda key: held.pop(key))
+
+            @staticmethod
+            def iterator():
+                store.reads += 1
+                return iter(list(held.items()))
+        return Entries
+
+    def getValueState(self, *_):
+        held = []
+
+        class Value:
+            exists = staticmethod(lambda: bool(held))
+            get = staticmethod(lambda: held[-1])
+            update = staticmethod(lambda value: held.append(value))
+            clear = staticmethod(held.clear)
+        return Value
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+def test_waiting_rows_are_read_once_when_the_watermark_moves():
+    """Forty deliveries, one timer, one read; rows beyond the watermark go on waiting."""
+    store = _Store()
+    waiting = stateful._Waiting(store, "at")
+    for i in range(40):
+        at = pa.array([1_000_000 * (i * 10 + j) for j in range(10)], pa.timestamp("us"))
+        waiting.add(pa.table({"at": at, "x": pa.array(range(10))}))
+    assert store.timers == [1]
+    taken = waiting.take(1, 155_000_000)
+    assert sum(t.num_rows for t in taken) == 155 and store.reads == 1 and store.timers == [1, 160_001, 155_001]
+    assert waiting.take(160_001, 999_000_000) == [] and store.reads == 1  # replaced by an earlier one
+    assert sum(t.num_rows for t in waiting.take(155_001, 999_000_000)) == 245 and store.reads == 2
+
+
+def test_features_of_a_large_delivery_are_made_in_slices(spark, tiny, monkeypatch):
+    """No call works on more than ``SLICE_ROWS`` new rows, however many a machine delivers at once."""
+    plan = s.History(al.align(t.system(spark, tiny), t.application(spark, tiny)), CFG)
+    rows = plan.base.where("machine_id = 'M1'").toPandas()
+    parts = [plan.packed(rows.iloc[100:]), plan.packed(rows.iloc[:100])]
+    frames = list(plan.slices(parts, 30))
+    assert parts == [] and max(map(len, frames)) == 30 and sum(map(len, frames)) == len(rows)
+    ids = np.concatenate([x["event_id"] for x in frames])
+    assert ids.tolist() == rows.sort_values(["timestamp", "event_id"])["event_id"].tolist()
