@@ -1,9 +1,16 @@
 """How queries lay out their work: no window over a whole machine, no table worked through again, no few large splits."""
 
+import dataclasses
+
 import duckdb
+import numpy as np
+from pyspark.sql import Window, functions as F
 
+from telemetry_ops.config import FeatureConfig
+from telemetry_ops.operators import scoring, serving
 from telemetry_ops.plans import diagnosis, feature
 from telemetry_ops.plans.common import rounded
+from telemetry_ops.sources import telemetry
 
 
 def _windows(df):
@@ -34,3 +41,19 @@ def test_rounding_is_that_of_the_other_engine(spark):
     want = [r[0] for r in duckdb.execute("SELECT round(unnest(?::DOUBLE[]), 6)", [values]).fetchall()]
     assert got == want
     assert rounded(spark.createDataFrame([(None,)], "x double")).first()["x"] is None
+
+
+def test_request_history_needs_no_window_over_a_machine(spark, tiny):
+    valid = telemetry.system(spark, tiny).join(telemetry.application(spark, tiny).drop("machine_id", "timestamp").limit(1))
+    made = scoring.request_features(valid)
+    assert not _windows(made) or not any("[timestamp#" in line for line in _windows(made))
+    blocks = scoring.request_features(valid, dataclasses.replace(FeatureConfig(), max_group_rows=10, block_rows=50))
+    order = Window.partitionBy("machine_id").orderBy("timestamp", "event_id")
+    plain = serving.with_stand_ins(serving.with_history_columns(valid.withColumn(
+        "n_history", F.row_number().over(order)), FeatureConfig()), FeatureConfig()).toPandas().set_index("event_id").sort_index()
+    for df in (made, blocks):
+        got = df.toPandas().set_index("event_id").sort_index()
+        assert set(got.columns) == set(plain.columns) and got["n_history"].tolist() == plain["n_history"].tolist()
+        for c in plain.columns:
+            if plain[c].dtype.kind == "f":
+                assert np.allclose(got[c].astype(float), plain[c].astype(float), equal_nan=True, atol=1e-6), c
