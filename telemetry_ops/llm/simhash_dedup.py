@@ -15,9 +15,11 @@ by spaces (fewer words: all of them; none: fingerprint zero). A null text is emp
 unless all its ids are null. Repeated rows are copies. Other columns are ignored or carried, whatever their names.
 
 ``deduplicate`` links texts by the Jaccard similarity of their sets of 5-word shingles, 0.8 or more, since texts that
-similar may differ in ten of 64 bits. Candidates agree on one of 20 bands of five minima of the set (MinHash), and are
-verified on the whole sets; a pair at just 0.8 is missed with a probability of 0.04 %, a closer one with less. Equal
-sets are one node. In each bucket all are compared with one pivot, then only members of different classes.
+similar may differ in ten of 64 bits. Candidates are the SimHash classes of the fingerprints of these shingles, each member
+with the class's pivot, and, for what bits cannot reach, texts that agree on one of 20 bands of five minima of the set (MinHash).
+All are verified on the whole sets; a pair at just 0.8 is missed with a probability of 0.04 %, a closer one with less. Equal
+sets are one node. In each bucket all are compared with one pivot, then only members of different classes. Texts stay where
+they are: tasks are sent the ids of the rows asked for, counted first (``SEND_IDS``), else the join shuffles.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from telemetry_ops.llm.common import map_texts, with_row_ids, written
+from telemetry_ops.llm.common import by_size, map_texts, with_row_ids, written
 from telemetry_ops.llm.graph import components
 
 SHINGLE = 4
@@ -37,6 +39,7 @@ SMALL_BUCKET = 64  # members of a bucket whose pairs are all compared
 SET_SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, BAND_ROWS = 20, 5
+SEND_IDS = 4_000_000  # row ids of 8 bytes that a join may send to every task
 _DRAWS = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * BAND_ROWS, 1), np.uint64)
 
 
@@ -55,7 +58,11 @@ def shingle_hashes(text: bytes, width: int, seed: int = SEED) -> np.ndarray:
 
 def fingerprint(text: bytes, width: int = SHINGLE, seed: int = SEED) -> int:
     """Unsigned 64-bit SimHash of one text."""
-    hashes = shingle_hashes(text, width, seed)
+    return majority(shingle_hashes(text, width, seed))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of the hashes."""
     n = len(hashes)
     if not n:
         return 0
@@ -190,48 +197,63 @@ def bands(values: np.ndarray) -> list[int]:
 
 
 def _sketched(docs: DataFrame, keys: list[str], width: int) -> DataFrame:
-    """``keys``, ``node`` (hash of the text's shingle set), ``size`` (of the set) and ``bands``."""
+    """``keys``, ``fp`` (SimHash of the shingles), ``node`` (hash of the text's shingle set), ``size`` (of the set), ``bands``."""
     def sketch(text):
-        values = shingle_set(text, width)
-        return _signed(xxhash.xxh64_intdigest(values.tobytes(), SEED)), len(values), bands(values)
+        hashes = shingle_hashes(text, width)
+        values = np.unique(hashes)
+        return _signed(majority(hashes)), _signed(xxhash.xxh64_intdigest(values.tobytes(), SEED)), len(values), bands(values)
 
     def make():
-        return lambda texts: dict(zip(("node", "size", "bands"), zip(*map(sketch, texts))))
+        return lambda texts: dict(zip(("fp", "node", "size", "bands"), zip(*map(sketch, texts))))
 
-    return map_texts(docs, "t", keys, [("node", T.LongType()), ("size", T.LongType()),
+    return map_texts(docs, "t", keys, [("fp", T.LongType()), ("node", T.LongType()), ("size", T.LongType()),
                                        ("bands", T.ArrayType(T.LongType()))], make)
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets are as similar as asked; ``texts`` has (node, t), one row a node."""
+def _similar(pairs: DataFrame, table: DataFrame, one: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose shingle sets are as similar as asked; ``one`` has a row (node, n) per node, ``table`` the
+    texts (n, node, t)."""
     def make():
         return lambda part: {"set": [shingle_set(x, width).view(np.int64) for x in part]}
 
     pairs = written(pairs.distinct(), "pairs")
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = written(map_texts(texts.join(asked, "node", "left_semi"), "t", ["node"], [("set", T.ArrayType(T.LongType()))],
-                             make), "sets")
+    rows = by_size(one.join(asked, "node", "left_semi").select("n"), most=SEND_IDS)
+    sets = written(map_texts(table.join(rows, "n", "left_semi").select("node", "t"), "t", ["node"],
+                             [("set", T.ArrayType(T.LongType()))], make), "sets")
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(common >= similarity * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
+def _alike(x, y, similarity: float) -> Column:
+    return F.least(x, y) >= similarity * F.greatest(x, y)
+
+
+def simhash_pairs(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Candidates (a, b): every node of a SimHash class with the class's least one, from (node, fp, size)."""
+    labels = linked_classes(written(nodes.select("fp").distinct(), "fingerprints"))
+    named = nodes.join(labels, "fp").select("node", "size", "label")
+    pivots = named.groupBy("label").agg(F.min(F.struct("node", "size")).alias("p"), F.max("node").alias("last")).where(
+        "p.node < last").select("label", F.col("p.node").alias("a"), F.col("p.size").alias("pivot_size"))
+    return named.join(pivots, "label").where((F.col("node") != F.col("a")) & _alike("size", "pivot_size", similarity)).select(
+        "a", F.col("node").alias("b"))
+
+
 def similar_classes(table: DataFrame, width: int = SET_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """(node, label) of nodes with links, from (n, t, node, size, bands) with unique row ids ``n``."""
-    one = written(table.groupBy("node").agg(F.min("n").alias("n")), "nodes")
-    texts = table.select("n", "t").join(one, "n").select("node", "t")
-    index = table.join(one.select("n"), "n", "left_semi").select("node", "size", F.explode("bands").alias("key"))
+    """(node, label) of nodes with links, from (n, t, fp, node, size, bands) with unique row ids ``n``."""
+    one = written(table.groupBy("node").agg(F.min(F.struct("n", "fp", "size", "bands")).alias("r")).select("node", "r.*"), "nodes")
+    index = one.select("node", "size", F.explode("bands").alias("key"))
     tasks = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     index = index.repartition(tasks, "key")  # one shuffle serves both sides
     pivots = index.groupBy("key").agg(F.min(F.struct("node", "size")).alias("p"), F.max("node").alias("last")).where(
         "p.node < last").select("key", F.col("p.node").alias("pivot"), F.col("p.size").alias("pivot_size"))
     members = written(index.join(pivots, "key"), "buckets")
 
-    def alike(x, y):
-        return F.least(x, y) >= similarity * F.greatest(x, y)
-
-    pairs = members.where((F.col("node") != F.col("pivot")) & alike("size", "pivot_size"))
-    labels = components(_similar(pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")), texts, width, similarity))
+    pairs = members.where((F.col("node") != F.col("pivot")) & _alike("size", "pivot_size", similarity)).select(
+        F.col("pivot").alias("a"), F.col("node").alias("b"))
+    pairs = simhash_pairs(one, similarity).union(pairs)
+    labels = components(_similar(pairs, table, one, width, similarity))
     named = members.select("key", "node", "size").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
     main = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
@@ -240,9 +262,10 @@ def similar_classes(table: DataFrame, width: int = SET_SHINGLE, similarity: floa
     a, b = (named.select("key", F.col("node").alias(x), F.col("size").alias(f"size_{x}"), F.col("label").alias(f"label_{x}"),
                          (F.col("label") == F.col("main")).alias(f"main_{x}")) for x in "ab")
     more = a.where("NOT main_a").join(b, "key").where(
-        (F.col("label_a") != F.col("label_b")) & (F.col("main_b") | (F.col("a") < F.col("b"))) & alike("size_a", "size_b"))
+        (F.col("label_a") != F.col("label_b")) & (F.col("main_b") | (F.col("a") < F.col("b")))
+        & _alike("size_a", "size_b", similarity))
     pairs = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return _merged(labels, written(_similar(pairs, texts, width, similarity), "between"))
+    return _merged(labels, written(_similar(pairs, table, one, width, similarity), "between"))
 
 
 def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = SET_SHINGLE,
@@ -254,5 +277,6 @@ def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id", width:
     labels = similar_classes(table.withColumn("t", F.col("row").getField(text)), width, similarity)
     first = (table.select("n", "k", "node").join(labels, "node", "left").groupBy(F.coalesce("label", "node").alias("label"))
              .agg(F.min(F.struct(F.col("k").isNull().alias("no_id"), "k", "n"))["n"].alias("n")))
-    return table.join(first.select("n"), "n", "left_semi").select(
+    gone = by_size(table.select("n").join(first.select("n"), "n", "left_anti"), most=SEND_IDS)
+    return table.join(gone, "n", "left_anti").select(
         *[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -216,6 +216,22 @@ def test_similar_texts_are_found_whatever_their_bits(spark):
     assert {r["doc_id"] for r in simhash_dedup.deduplicate(df).collect()} == want
 
 
+def test_the_pipeline_stage_takes_candidates_from_simhash_classes(spark, monkeypatch):
+    """Without any MinHash band, texts whose fingerprints link are still found; they are verified on their sets."""
+    rng = random.Random(7)
+    base = [f"w{rng.randrange(5000)}" for _ in range(2000)]
+    near = base[:-1] + ["other"]
+    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(reversed(base)))]
+    prints = [simhash_dedup.fingerprint(t.encode(), simhash_dedup.SET_SHINGLE) for _, t in rows]
+    assert (prints[0] ^ prints[1]).bit_count() <= 4 < (prints[0] ^ prints[2]).bit_count()
+    monkeypatch.setattr(simhash_dedup, "bands", lambda values: [])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash_dedup.deduplicate(docs).collect()} == {1, 3}
+    nodes = spark.createDataFrame([(n, fp, size) for n, fp, size in ((10, 0, 100), (11, 1, 90), (12, 3, 50), (13, -1, 100))],
+                                  "node long, fp long, size long")
+    assert [tuple(r) for r in simhash_dedup.simhash_pairs(nodes).collect()] == [(10, 11)]
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     got = {r["node"]: r["label"] for r in graph.components(edges).collect()}
