@@ -1,5 +1,6 @@
 import itertools
 import math
+import pathlib
 import random
 
 import numpy as np
@@ -7,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from telemetry_ops import scratch
 from telemetry_ops.config import TrainConfig
 from telemetry_ops.operators import explain as ex, train
 from telemetry_ops.sources import telemetry as t
@@ -139,6 +141,19 @@ def test_cross_validation_scores_every_row_once(spark, tiny):
     assert model.getNumTrees == int(np.median(trees))
 
 
+def test_folds_dealt_before_are_used_and_only_the_input_stays_written(spark, tiny):
+    """Wide rows are neither ordered nor copied per fold: the table of vectors is all that cross-validation leaves."""
+    folder = scratch.shared_folder(spark)
+    names = lambda: {p.parent.name for p in pathlib.Path(folder).glob("*/*/_SUCCESS")}
+    df = train.stratified_folds(t.system(spark, tiny), "machine_failure", "event_id", QUICK.folds, QUICK.seed)
+    dealt = {r["event_id"]: r["fold"] for r in df.select("event_id", "fold").collect()}
+    before = names()
+    scored, _ = train.cross_validate(df, "machine_failure", "event_id", COLUMNS, QUICK, "fold")
+    left = names() - before
+    assert len(left) == 1 and left.pop().startswith("folds-")
+    assert {r["event_id"]: r["fold"] for r in scored.collect()} == dealt
+
+
 def test_folds_are_balanced(spark, tiny):
     folds = train.stratified_folds(t.system(spark, tiny), "machine_failure", "event_id", 5)
     counts = folds.groupBy("machine_failure", "fold").count().collect()
