@@ -23,9 +23,10 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from telemetry_ops.llm.common import by_size, fold, map_texts
+from telemetry_ops.llm.common import by_size, fold, map_texts, slices
 
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 3, 1
@@ -43,6 +44,7 @@ RATE = 0.02
 SPREAD = 0.02  # of the first embeddings: a word never trained on adds next to nothing
 LEAST_PER_LANGUAGE = 20  # toxic rows needed for a threshold of its own
 CACHED_WORDS = 150_000
+PROJECTED = 4096  # words whose projections are made at a time
 STEPS = 64  # of log-odds, in which rows are counted for thresholds
 # fixed values: frequent function words that tell the languages apart
 FUNCTION_WORDS = {
@@ -95,7 +97,7 @@ class Model:
         starts = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)
         vectors = np.add.reduceat(self.embed[flat], starts, axis=0)
         matrix = np.concatenate([k.transpose(1, 0, 2).reshape(DIMS, -1) for k in self.kernel], axis=1)
-        return (vectors @ matrix).astype(np.float32)
+        return vectors @ matrix
 
 
 def _logit(p):
@@ -139,7 +141,19 @@ class Scorer:
 
     def _forget(self):
         self.index: dict[bytes, int] = {}
-        self.table = np.zeros((1, sum(WIDTHS) * FILTERS), np.float32)  # row 0: the empty word
+        self.table = np.zeros((1 << 14, sum(WIDTHS) * FILTERS), np.float32)  # row 0: the empty word
+
+    def _remember(self, words: list[bytes]) -> None:
+        """Projections of new words, a few at a time, into a table that doubles when it is full."""
+        at = len(self.index) + 1
+        self.index.update(zip(words, range(at, at + len(words))))
+        if at + len(words) > len(self.table):
+            table = np.zeros((max(2 * len(self.table), at + len(words)), self.table.shape[1]), np.float32)
+            table[:at] = self.table[:at]
+            self.table = table
+        for i in range(0, len(words), PROJECTED):
+            part = words[i:i + PROJECTED]
+            self.table[at + i:at + i + len(part)] = self.model.projections(part)
 
     def odds(self, texts: list[bytes]) -> tuple[np.ndarray, list[int]]:
         """Log-odds before the shift, and the languages."""
@@ -148,8 +162,7 @@ class Scorer:
         cut = [words_of(t) for t in texts]
         missing = list(set().union(*cut).difference(self.index))
         if missing:
-            self.index.update(zip(missing, range(len(self.table), len(self.table) + len(missing))))
-            self.table = np.concatenate([self.table, self.model.projections(missing)])
+            self._remember(missing)
         pad = max(WIDTHS) - 1 or 1
         sizes = np.fromiter(map(len, cut), np.int64, len(cut)) + pad
         starts = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)
@@ -365,6 +378,13 @@ def classify(docs: DataFrame, labels: DataFrame, text: str = "text", key: str =
 
 def clean(docs: DataFrame, labelled: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, by a model fitted on ``labelled`` documents."""
-    source = docs.select(F.struct("*").alias("row"), F.col(text).alias("t"))
-    scored = score(source, train(labelled, labels, text, key), "t", ["row"])
-    return scored.where(F.col("score") < THRESHOLD).select("row.*")
+    model, at = train(labelled, labels, text, key), docs.columns.index(text)
+
+    def run(batches):
+        scorer = Scorer(model)
+        for batch in batches:  # a text goes to Python once, in its row
+            for part in slices(batch, at, 512, 4 << 20):
+                texts = [t or b"" for t in part.column(at).cast(pa.binary()).to_pylist()]
+                yield part.filter(pa.array(np.array(scorer.scores(texts)) < THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)

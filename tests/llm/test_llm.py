@@ -441,6 +441,28 @@ def test_packing_is_gapless_and_whole(spark, tiny):
     assert len(by_sequence) <= 1.01 * total / 1024 + 2
 
 
+def test_new_words_are_projected_a_few_at_a_time(monkeypatch):
+    texts = [b"vileness and more" if i % 2 else b"quiet words only" for i in range(60)]
+    model = toxicity.fit(texts, [i % 2 for i in range(60)])
+    seen, projections = [], toxicity.Model.projections
+    monkeypatch.setattr(toxicity.Model, "projections", lambda self, words: seen.append(len(words)) or projections(self, words))
+    many = b" ".join(b"word%d" % i for i in range(30_000))
+    scorer = toxicity.Scorer(model)
+    assert scorer.scores([many, texts[1]])[1] == toxicity.Scorer(model).scores([texts[1]])[0]
+    assert max(seen) <= 4096 and len(scorer.table) >= 30_001 and scorer.scores([many]) == scorer.scores([many])
+
+
+def test_clean_sends_rows_as_they_are(spark, monkeypatch):
+    """Rows go to Python once and come back unchanged, null texts and odd names included."""
+    rows = [(i, None if i == 3 else "" if i == 4 else f"text {i}", i * 0.5, [i], f"t{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score double, row array<long>, t string")
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    asked, run = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, *a: asked.append(self.columns) or run(self, *a))
+    assert sorted(map(tuple, toxicity.clean(docs, docs, labels).collect())) == sorted(rows)
+    assert asked == [docs.columns]
+
+
 def test_plan_holds_exactly_the_histogram():
     rng = random.Random(7)
     counts = dict(Counter(rng.randint(1, 1023) for _ in range(3000)))
