@@ -8,7 +8,8 @@ that hold it are counted; lines in more than ``max_docs`` of them are removed, a
 removal leaves fewer than ``min_words`` words or less than ``min_share`` of its words. Documents with the same set of
 lines are copies and count as one. Near copies are documents of their own: pages that are mostly a menu lose it and may be
 depleted, however little else they hold. A line in few documents cannot exceed the limit, so documents are told apart only where
-a line might.
+a line might. Texts stay where they are: tasks are sent the lines to remove, which are counted first (``BROADCAST_ITEMS``); only
+beyond that are texts and the lines each loses joined by a shuffle.
 
 A null or empty text has no words and fails the base rule. A null host is a host of its own. Repeated rows are copies.
 Other columns are ignored (or carried, by ``clean``) whatever their names. An empty table gives no rows.
@@ -21,7 +22,7 @@ from collections import Counter
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from telemetry_ops.llm.common import map_texts, with_row_ids, written
+from telemetry_ops.llm.common import BROADCAST_ITEMS, map_texts, with_row_ids, written
 
 SYMBOLS = "#*$%&|<>"
 MAX_DOCS = 10  # documents of a host that may share a line
@@ -80,6 +81,23 @@ def _counted(docs: DataFrame, text: str, keys: list[str]) -> DataFrame:
     return map_texts(docs, text, keys, _FIELDS, make)
 
 
+def _losing(table: DataFrame, shared: DataFrame) -> DataFrame:
+    """``table`` with ``removed`` and ``removed_words`` (null: none) by the lines to remove (_h, _l), which go to every task."""
+    by_host: dict = {}
+    for r in shared.collect():
+        by_host.setdefault(r["_h"], set()).add(r["_l"])
+    sent = table.sparkSession.sparkContext.broadcast(by_host)
+
+    @F.udf(T.StructType([T.StructField("lines", T.ArrayType(T.LongType())), T.StructField("words", T.LongType())]), useArrow=True)
+    def lost(host, lines, words):
+        gone = sent.value.get(host, ())
+        at = [i for i, line in enumerate(lines) if line in gone]
+        return ([lines[i] for i in at], sum(words[i] for i in at)) if at else (None, None)
+
+    return table.withColumn("lost", lost("host", "lines", "line_words")).withColumns(
+        {"removed": F.col("lost.lines"), "removed_words": F.col("lost.words")})
+
+
 def judged(source: DataFrame, max_docs: int, min_words: int, min_share: float) -> DataFrame:
     """``row``, the counts, ``base_failed``, ``kept`` and ``removed`` (hashes of removed lines) from (row, text, host)."""
     table = with_row_ids(_counted(source, "text", ["row", "host"]), "doc", "quality")
@@ -94,12 +112,17 @@ def judged(source: DataFrame, max_docs: int, min_words: int, min_share: float) -
     held = lines.join(frequent(lines, F.count(F.lit(1))), same, "left_semi").join(
         table.select("doc", F.xxhash64(F.sort_array("lines")).alias("whole")), "doc")
     held = written(held, "held")
-    removed = (held.join(frequent(held, F.countDistinct("whole")), same, "left_semi").groupBy("doc")
-               .agg(F.sum("words").alias("removed_words"), F.collect_list("line").alias("removed")))
+    shared = written(frequent(held, F.countDistinct("whole")), "shared")
+    if shared.count() <= BROADCAST_ITEMS:
+        marked = _losing(table, shared)
+    else:
+        removed = held.join(shared, same, "left_semi").groupBy("doc").agg(
+            F.sum("words").alias("removed_words"), F.collect_list("line").alias("removed"))
+        marked = table.drop("lines", "line_words").join(removed, "doc", "left")
     left = F.col("n_words") - F.col("removed_words")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     depleted = F.coalesce((left < min_words) | (left < min_share * F.col("n_words")), F.lit(False))
-    return table.drop("lines", "line_words").join(removed, "doc", "left").select(
+    return marked.select(
         "row", *[n for n, _ in _FIELDS[:5]], failed.alias("base_failed"), (~failed & ~depleted).alias("kept"),
         F.coalesce("removed_words", F.lit(0)).cast("long").alias("n_removed_words"), "removed")
 

@@ -17,14 +17,16 @@ unless all its ids are null. Repeated rows are copies. Other columns are ignored
 ``deduplicate`` links texts by the Jaccard similarity of their sets of 5-word shingles, 0.8 or more, since texts that
 similar may differ in ten of 64 bits. Candidates are the SimHash classes of the fingerprints of these shingles, each member
 with the class's pivot, and, for what bits cannot reach, texts that agree on one of 20 bands of five minima of the set (MinHash).
-All are verified on the whole sets; a pair at just 0.8 is missed with a probability of 0.04 %, a closer one with less. Equal
-sets are one node. In each bucket all are compared with one pivot, then only members of different classes. Texts stay where
+All are verified on the whole sets; a pair at just 0.8 is missed with a probability of 0.04 %, a closer one with less. Sets
+are sent only for pairs that may be similar by the sets' bits (four for each shingle or more), a bound that holds for every pair,
+so what is shuffled follows the similar pairs rather than all candidates. Equal sets are one node. In each bucket all are compared with one pivot, then only members of different classes. Texts stay where
 they are: tasks are sent the ids of the rows asked for, counted first (``SEND_IDS``), else the join shuffles.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -210,17 +212,60 @@ def _sketched(docs: DataFrame, keys: list[str], width: int) -> DataFrame:
                                        ("bands", T.ArrayType(T.LongType()))], make)
 
 
+def bit_set(values: np.ndarray) -> bytes:
+    """A bit for each value at its remainder by a power of two, at least four times the number of values."""
+    n = max(64, 1 << (4 * len(values) - 1).bit_length())
+    marks = np.zeros(n, bool)
+    marks[(values & np.uint64(n - 1)).astype(np.intp)] = True
+    return np.packbits(marks).tobytes()
+
+
+def most_common(a: bytes, size_a: int, b: bytes, size_b: int) -> int:
+    """No fewer values than two sets share, from their bits and sizes: a bit in one only is a value in that one only."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[:len(x) // 2] | x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[:len(y) // 2] | y[len(y) // 2:]
+    only_a, only_b = (int(np.bitwise_count(one & ~other).sum()) for one, other in ((x, y), (y, x)))
+    return min(size_a - only_a, size_b - only_b)
+
+
+def _likely(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) that may be as similar as asked by the bits of their sets (node, size, bits)."""
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for size_a, bits_a, size_b, bits_b in zip(*(batch.column(i).to_pylist() for i in range(2, 6))):
+                most = most_common(bits_a, size_a, bits_b, size_b)
+                keep.append(most >= similarity * (size_a + size_b - most))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    asked = sets.select("node", "size", "bits")
+    both = pairs.join(asked.toDF("a", "size_a", "bits_a"), "a").join(asked.toDF("b", "size_b", "bits_b"), "b")
+    return both.select("a", "b", "size_a", "bits_a", "size_b", "bits_b").mapInArrow(run, "a long, b long")
+
+
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+
+
 def _similar(pairs: DataFrame, table: DataFrame, one: DataFrame, width: int, similarity: float) -> DataFrame:
     """The pairs (a, b) of nodes whose shingle sets are as similar as asked; ``one`` has a row (node, n) per node, ``table`` the
     texts (n, node, t)."""
+    def sketch(text):
+        values = shingle_set(text, width)
+        return values.view(np.int64), len(values), bit_set(values)
+
     def make():
-        return lambda part: {"set": [shingle_set(x, width).view(np.int64) for x in part]}
+        return lambda part: dict(zip(("set", "size", "bits"), zip(*map(sketch, part))))
 
     pairs = written(pairs.distinct(), "pairs")
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    rows = by_size(one.join(asked, "node", "left_semi").select("n"), most=SEND_IDS)
+    rows = by_size(one.join(_nodes(pairs), "node", "left_semi").select("n"), most=SEND_IDS)
     sets = written(map_texts(table.join(rows, "n", "left_semi").select("node", "t"), "t", ["node"],
-                             [("set", T.ArrayType(T.LongType()))], make), "sets")
+                             [("set", T.ArrayType(T.LongType())), ("size", T.LongType()), ("bits", T.BinaryType())], make), "sets")
+    pairs = written(_likely(pairs, sets, similarity), "likely")
+    sets = sets.join(by_size(_nodes(pairs), most=SEND_IDS), "node", "left_semi").select("node", "set")
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(common >= similarity * (F.size("sa") + F.size("sb") - common)).select("a", "b")
