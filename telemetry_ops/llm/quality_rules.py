@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -81,25 +82,45 @@ def _counted(docs: DataFrame, text: str, keys: list[str]) -> DataFrame:
     return map_texts(docs, text, keys, _FIELDS, make)
 
 
-def _losing(table: DataFrame, shared: DataFrame) -> DataFrame:
-    """``table`` with ``removed`` and ``removed_words`` (null: none) by the lines to remove (_h, _l), which go to every task."""
+def _without(text: str, gone) -> str:
+    return "\n".join(x for x in text.split("\n") if not x.strip() or line_hash(x.encode()) not in gone)
+
+
+def _losing(table: DataFrame, shared: DataFrame, keep: list[str], text: int | None) -> DataFrame:
+    """``keep``, ``removed_words`` and ``new`` (the text without its removed lines; both null: none is removed) by the lines to
+    remove (_h, _l), which go to every task; ``text`` is the text's place in ``row``, None if no text is asked for."""
     by_host: dict = {}
     for r in shared.collect():
         by_host.setdefault(r["_h"], set()).add(r["_l"])
     sent = table.sparkSession.sparkContext.broadcast(by_host)
-
-    @F.udf(T.StructType([T.StructField("lines", T.ArrayType(T.LongType())), T.StructField("words", T.LongType())]), useArrow=True)
-    def lost(host, lines, words):
-        gone = sent.value.get(host, ())
-        at = [i for i, line in enumerate(lines) if line in gone]
-        return ([lines[i] for i in at], sum(words[i] for i in at)) if at else (None, None)
-
-    return table.withColumn("lost", lost("host", "lines", "line_words")).withColumns(
-        {"removed": F.col("lost.lines"), "removed_words": F.col("lost.words")})
-
-
-def judged(source: DataFrame, max_docs: int, min_words: int, min_share: float) -> DataFrame:
-    """``row``, the counts, ``base_failed``, ``kept`` and ``removed`` (hashes of removed lines) from (row, text, host)."""
+    at = len(keep)
+
+    def lost(part):
+        for i, (host, lines, words) in enumerate(zip(*(part.column(at + j).to_pylist() for j in range(3)))):
+            gone = sent.value.get(host, ())
+            held = {line: n for line, n in zip(lines, words) if line in gone}
+            if held:
+                new = None if text is None else _without(part.column(0).field(text)[i].as_py(), held)
+                yield sum(held.values()), new
+            else:
+                yield None, None
+
+    def run(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 512):
+                part = batch.slice(i, 512)
+                n, new = zip(*lost(part))
+                yield pa.RecordBatch.from_arrays([*(part.column(j) for j in range(at)), pa.array(n, pa.int64()),
+                                                  pa.array(new, pa.string())], names=[*keep, "removed_words", "new"])
+
+    schema = T.StructType([*(table.schema[c] for c in keep), T.StructField("removed_words", T.LongType()),
+                           T.StructField("new", T.StringType())])
+    return table.select(*keep, "host", "lines", "line_words").mapInArrow(run, schema)
+
+
+def judged(source: DataFrame, max_docs: int, min_words: int, min_share: float, text: int | None = None) -> DataFrame:
+    """``row``, the counts, ``base_failed``, ``kept``, ``n_removed_words`` from (row, text, host); where the text's place in ``row``
+    is given, ``new`` is the text without its removed lines (null: none is removed)."""
     table = with_row_ids(_counted(source, "text", ["row", "host"]), "doc", "quality")
     lines = table.select("doc", "host", F.explode(F.arrays_zip("lines", "line_words")).alias("x")).select(
         "doc", "host", F.col("x.lines").alias("line"), F.col("x.line_words").alias("words"))
@@ -114,17 +135,22 @@ def judged(source: DataFrame, max_docs: int, min_words: int, min_share: float) -
     held = written(held, "held")
     shared = written(frequent(held, F.countDistinct("whole")), "shared")
     if shared.count() <= BROADCAST_ITEMS:
-        marked = _losing(table, shared)
+        marked = _losing(table, shared, ["row", *[n for n, _ in _FIELDS[:5]]], text)
     else:
         removed = held.join(shared, same, "left_semi").groupBy("doc").agg(
             F.sum("words").alias("removed_words"), F.collect_list("line").alias("removed"))
-        marked = table.drop("lines", "line_words").join(removed, "doc", "left")
+        marked = table.drop("lines", "line_words").join(removed, "doc", "left").withColumn("new", F.lit(None).cast("string"))
+        if text is not None:
+            # the function runs on every row, whatever condition stands before it, so texts without removed lines stay out
+            shown = F.when(F.col("removed").isNotNull(), F.col("row").getField(source.schema["row"].dataType.names[text]))
+            without = F.udf(lambda value, gone: gone and _without(value, set(gone)), T.StringType(), useArrow=True)
+            marked = marked.withColumn("new", without(shown, "removed"))
     left = F.col("n_words") - F.col("removed_words")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     depleted = F.coalesce((left < min_words) | (left < min_share * F.col("n_words")), F.lit(False))
     return marked.select(
         "row", *[n for n, _ in _FIELDS[:5]], failed.alias("base_failed"), (~failed & ~depleted).alias("kept"),
-        F.coalesce("removed_words", F.lit(0)).cast("long").alias("n_removed_words"), "removed")
+        F.coalesce("removed_words", F.lit(0)).cast("long").alias("n_removed_words"), "new")
 
 
 def quality_rules(docs: DataFrame, text: str = "text", key: str = "doc_id", host: str = "source",
@@ -133,30 +159,17 @@ def quality_rules(docs: DataFrame, text: str = "text", key: str = "doc_id", host
     asked = docs.select(F.struct(F.col(key).alias("k")).alias("row"), F.col(text).alias("text"),
                         F.col(host).alias("host"))
     out = judged(asked, max_docs, min_words, min_share)
-    return out.select(F.col("row.k").alias(key), *[c for c in out.columns if c not in ("row", "removed")])
+    return out.select(F.col("row.k").alias(key), *[c for c in out.columns if c not in ("row", "new")])
 
 
 def clean(docs: DataFrame, text: str = "text", host: str = "source", n_chars: str | None = "n_chars",
           max_docs: int = MAX_DOCS, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE) -> DataFrame:
     """The kept documents without their removed lines, with the columns of ``docs``; ``n_chars`` is counted anew."""
     source = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.col(host).alias("host"))
-    out = judged(source, max_docs, min_words, min_share).where("kept")
-
-    @F.udf(T.StringType(), useArrow=True)
-    def without(value, hashes):
-        if not hashes:
-            return value
-        gone = set(hashes)
-        kept = [x for x in value.split("\n") if not x.strip() or line_hash(x.encode()) not in gone]
-        return "\n".join(kept)
-
-    old = F.col("row").getField(text)
-    # the function runs on every row, whatever condition stands before it, so texts without removed lines stay out
-    shared = F.when(F.col("removed").isNotNull(), old)
-    out = out.withColumn("new", F.coalesce(without(shared, "removed"), old))
+    out = judged(source, max_docs, min_words, min_share, docs.columns.index(text)).where("kept")
     columns = {c: F.col("row").getField(c) for c in docs.columns}
-    columns[text] = F.col("new")
     if n_chars in columns:
-        columns[n_chars] = F.when(F.col("removed").isNull(), columns[n_chars]).otherwise(
+        columns[n_chars] = F.when(F.col("new").isNull(), columns[n_chars]).otherwise(
             F.length("new").cast(docs.schema[n_chars].dataType))
+    columns[text] = F.coalesce("new", F.col("row").getField(text))
     return out.select(*[c.alias(n) for n, c in columns.items()])
