@@ -318,9 +318,10 @@ def _calibrated(model: Model, docs: DataFrame, marked: DataFrame, rows: list, te
     if len(set(y.tolist())) < 2:
         return model
     kept_out = _kept_out(y)
-    fitted = [(r["k"],) for r, out in zip(rows, kept_out) if not out]
-    spark, kind = docs.sparkSession, T.StructType([marked.schema["k"]])
-    rest = by_size(marked.join(F.broadcast(spark.createDataFrame(fitted, kind)), "k", "left_anti").select("k", "y"))
+    # as an Arrow table: a list of rows would start a second pool of Python workers, which stays beside the first
+    fitted = pa.table({"k": [r["k"] for r, out in zip(rows, kept_out) if not out]})
+    known = docs.sparkSession.createDataFrame(fitted, T.StructType([marked.schema["k"]]))
+    rest = by_size(marked.join(F.broadcast(known), "k", "left_anti").select("k", "y"))
     source = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(rest, "k")
 
     def make():

@@ -5,7 +5,9 @@ import random
 import numpy as np
 import pytest
 
-from telemetry_ops.llm import quality_rules, simhash_dedup
+from pyspark import RDD
+
+from telemetry_ops.llm import quality_rules, simhash_dedup, toxicity
 
 
 @pytest.fixture
@@ -69,3 +71,13 @@ def test_sets_are_sent_for_likely_pairs_only(spark, monkeypatch):
     got = simhash_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r["doc_id"] for r in got.collect()} == set(range(40))
     assert sum(counted["pairs"]) > 500 and 1 <= sum(counted["likely"]) <= 5
+
+
+@pytest.mark.parametrize("kind", ["int", "long", "string"])
+def test_thresholds_need_no_second_pool_of_workers(spark, monkeypatch, kind):
+    """Rows of the driver that Spark pickles go through Python workers of their own, which stay."""
+    rows = [(str(i) if kind == "string" else i, "vile filth text" if i % 2 else "calm good text", i % 2) for i in range(200)]
+    docs = spark.createDataFrame(rows, f"doc_id {kind}, text string, toxic int").localCheckpoint()
+    monkeypatch.setattr(RDD, "_to_java_object_rdd", lambda self: pytest.fail("rows were pickled"))
+    got = toxicity.classify(docs, docs.select("doc_id", "toxic")).collect()
+    assert {str(r["doc_id"]): r["predicted"] for r in got} == {str(k): y for k, _, y in rows}
