@@ -118,8 +118,12 @@ def _first_key(a: str, b: str) -> Column:
 
 
 def _links_between(a: DataFrame, b: DataFrame, more: Column) -> DataFrame:
-    """Verified links of members (key, a) and (key, b) of the same buckets, each pair in one bucket only."""
-    return a.join(b, (a["key"] == b["key"]) & (_bits_apart("a", "b") <= MAX_BITS) & more
+    """Verified links of members (key, a) and (key, b) of the same buckets, each pair in one bucket only.
+
+    Spark takes the 64 keys of a fingerprint for one row, and repeated keys for as small as their file, so a join it sized
+    itself would broadcast members that fill the driver: both sides are shuffled.
+    """
+    return a.hint("merge").join(b.hint("merge"), (a["key"] == b["key"]) & (_bits_apart("a", "b") <= MAX_BITS) & more
                   & (F.shiftright(a["key"], 22) == _first_key("a", "b")))
 
 

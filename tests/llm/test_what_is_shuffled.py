@@ -1,6 +1,7 @@
 """What the stages of the pipeline move between tasks."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -73,6 +74,23 @@ def test_sets_are_sent_for_likely_pairs_only(spark, monkeypatch):
     assert sum(counted["pairs"]) > 500 and 1 <= sum(counted["likely"]) <= 5
 
 
+@pytest.mark.parametrize("run", [simhash_dedup.near_duplicates])
+def test_members_of_buckets_are_never_broadcast(spark, monkeypatch, run):
+    """Spark sizes 64 keys of a fingerprint as one row, and a list as one entry, so all these sides look small."""
+    plans, join = [], simhash_dedup.components
+
+    def seen(edges, *more):
+        plans.append(edges._jdf.queryExecution().executedPlan().toString())
+        return join(edges, *more)
+
+    monkeypatch.setattr(simhash_dedup, "components", seen)
+    docs = spark.createDataFrame([(i, f"some words of text number {i // 2} and no more than that") for i in range(40)],
+                                 "doc_id long, text string")
+    assert run(docs).select("doc_id").distinct().count() == (20 if run is simhash_dedup.deduplicate else 40)
+    links = [p for p in plans if "Join" in p]
+    assert links and not [x for p in links for x in re.findall(r"Broadcast\w+Join \[(?:key|a|b)#.*Inner", p)]
+
+
 @pytest.mark.parametrize("kind", ["int", "long", "string"])
 def test_thresholds_need_no_second_pool_of_workers(spark, monkeypatch, kind):
     """Rows of the driver that Spark pickles go through Python workers of their own, which stay."""
