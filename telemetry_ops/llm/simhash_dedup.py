@@ -270,7 +270,8 @@ def _similar(pairs: DataFrame, table: DataFrame, one: DataFrame, width: int, sim
                              [("set", T.ArrayType(T.LongType())), ("size", T.LongType()), ("bits", T.BinaryType())], make), "sets")
     pairs = written(_likely(pairs, sets, similarity), "likely")
     sets = sets.join(by_size(_nodes(pairs), most=SEND_IDS), "node", "left_semi").select("node", "set")
-    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    # never broadcast: Spark counts a list as one entry
+    both = pairs.join(sets.toDF("a", "sa").hint("merge"), "a").join(sets.toDF("b", "sb").hint("merge"), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(common >= similarity * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
@@ -310,7 +311,7 @@ def similar_classes(table: DataFrame, width: int = SET_SHINGLE, similarity: floa
     named = written(named.join(main, "key"), "members")
     a, b = (named.select("key", F.col("node").alias(x), F.col("size").alias(f"size_{x}"), F.col("label").alias(f"label_{x}"),
                          (F.col("label") == F.col("main")).alias(f"main_{x}")) for x in "ab")
-    more = a.where("NOT main_a").join(b, "key").where(
+    more = a.where("NOT main_a").hint("merge").join(b.hint("merge"), "key").where(  # files of repeated keys look small
         (F.col("label_a") != F.col("label_b")) & (F.col("main_b") | (F.col("a") < F.col("b")))
         & _alike("size_a", "size_b", similarity))
     pairs = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

@@ -74,7 +74,7 @@ def test_sets_are_sent_for_likely_pairs_only(spark, monkeypatch):
     assert sum(counted["pairs"]) > 500 and 1 <= sum(counted["likely"]) <= 5
 
 
-@pytest.mark.parametrize("run", [simhash_dedup.near_duplicates])
+@pytest.mark.parametrize("run", [simhash_dedup.near_duplicates, simhash_dedup.deduplicate])
 def test_members_of_buckets_are_never_broadcast(spark, monkeypatch, run):
     """Spark sizes 64 keys of a fingerprint as one row, and a list as one entry, so all these sides look small."""
     plans, join = [], simhash_dedup.components
