@@ -13,7 +13,8 @@ def parse_requests(df: DataFrame, column: str = "request") -> DataFrame:
 
     Numbers may be given as text. What is no number (NaN included) becomes NULL, and its name goes to ``wrong_types``.
 
-    The parsed value goes through a generator, which keeps Catalyst from copying the parse into every later check.
+    The parsed value, and then the fields read from it, go through generators, which keep Catalyst from copying the parse, or
+    the list of wrong types, into every later check.
     """
     as_text = T.StructType([T.StructField(part.name, T.StructType(
         [T.StructField(f.name, T.StringType()) for f in part.dataType])) for part in REQUEST_SCHEMA])
@@ -26,8 +27,8 @@ def parse_requests(df: DataFrame, column: str = "request") -> DataFrame:
         return F.nanvl(F.col(part)[field.name].try_cast(field.dataType), F.lit(None).cast(field.dataType))
 
     wrong = [F.when(F.col(part)[f.name].isNotNull() & read(part, f).isNull(), F.lit(f.name)) for part, f in fields]
-    return parsed.select(*df.columns, *[read(part, f).alias(f.name) for part, f in fields],
-                         F.array_compact(F.array(*wrong)).alias("wrong_types"))
+    return parsed.select(*df.columns, F.inline(F.array(F.struct(
+        *[read(part, f).alias(f.name) for part, f in fields], F.array_compact(F.array(*wrong)).alias("wrong_types")))))
 
 
 def violations(rules: dict, wrong_types: str | None = None) -> Column:
