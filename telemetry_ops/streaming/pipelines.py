@@ -6,6 +6,9 @@ taken in (time, row id) order, and per-key state holds a fixed number of rows.
 
 from __future__ import annotations
 
+import itertools
+import tempfile
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -22,6 +25,7 @@ from telemetry_ops.operators.quality import bounds_bit, is_outside, missing_bit
 
 WATERMARK = "10 minutes"
 SLICE_ROWS = 5000  # rows whose features are made at a time
+SORT_ROWS = 50_000  # rows of a machine that a task sorts in memory; more are first ordered through a file
 
 
 def stream_source(spark: SparkSession, path: str, schema: T.StructType, kind: str = "parquet",
@@ -96,6 +100,24 @@ def arrow_column(values: pd.Series, kind: T.DataType) -> pa.Array:
     return pa.array(values, plain, from_pandas=True)
 
 
+def _used_up(parts):
+    """The tables of a list, each let go of as it is taken, or of an iterator."""
+    if not isinstance(parts, list):
+        yield from parts
+        return
+    parts.reverse()
+    while parts:
+        yield parts.pop()
+
+
+def _starts(batches):
+    """Each batch with its first row's number."""
+    start = 0
+    for batch in batches:
+        yield start, batch
+        start += batch.num_rows
+
+
 class History:
     """How history features of one machine go on from its kept rows to new ones; shared by the streaming forms."""
 
@@ -123,14 +145,53 @@ class History:
         """Rows as typed columns; pandas turns whole numbers beside missing ones into floats."""
         return pa.table([arrow_column(part[f.name], f.dataType) for f in self.fields], names=self.passthrough)
 
-    def slices(self, parts: list, rows: int = SLICE_ROWS):
-        """Tables of one machine, as frames of so many rows in (time, row id) order. ``parts`` is emptied."""
-        table = pa.concat_tables(parts).combine_chunks()
-        parts.clear()
-        order = pc.sort_indices(table, [(self.cfg.time, "ascending"), (self.cfg.rid, "ascending")])
+    def slices(self, parts, rows: int = SLICE_ROWS):
+        """Tables of one machine, as frames of at most so many rows in (time, row id) order. ``parts`` is used up, one table at a
+        time; beyond ``SORT_ROWS`` rows no more than those are held, and 16 bytes for each row."""
+        left, held, n = _used_up(parts), [], 0
+        for table in left:
+            held.append(table)
+            n += table.num_rows
+            if n > SORT_ROWS:
+                yield from self._through_file(itertools.chain(_used_up(held), left), rows)
+                return
+        if n:
+            yield from self._frames(pa.concat_tables(_used_up(held)), rows)
+
+    def _order(self, table: pa.Table):
+        return pc.sort_indices(table, [(self.cfg.time, "ascending"), (self.cfg.rid, "ascending")])
+
+    def _frames(self, table: pa.Table, rows: int):
+        table = table.combine_chunks()
+        order = self._order(table)
         for start in range(0, len(order), rows):
             yield table.take(order[start:start + rows]).to_pandas()
 
+    def _through_file(self, tables, rows: int):
+        """As :meth:`slices`, a span of time after the other: every table is written in order, and each span is a piece of it.
+        Rows of one time stay together."""
+        with tempfile.TemporaryDirectory() as folder:
+            path, times, writer = f"{folder}/rows", [], None
+            with pa.OSFile(path, "wb") as sink:
+                for table in tables:
+                    if not table.num_rows:
+                        continue
+                    table = table.take(self._order(table)).combine_chunks()
+                    writer = writer or pa.ipc.new_file(sink, table.schema)
+                    writer.write_table(table)
+                    at = pc.fill_null(table.column(self.cfg.time).cast(pa.int64()), np.iinfo("int64").max)  # missing: last
+                    times += [at.to_numpy()[i:i + b.num_rows] for i, b in _starts(table.to_batches())]
+                writer.close()
+            cuts = np.unique(np.sort(np.concatenate(times))[SORT_ROWS::SORT_ROWS])
+            edges = [np.concatenate([[0], np.searchsorted(at, cuts), [len(at)]]) for at in times]
+            with pa.memory_map(path) as source:
+                reader = pa.ipc.open_file(source)
+                batches = [reader.get_batch(i) for i in range(reader.num_record_batches)]
+                for k in range(len(cuts) + 1):
+                    span = [b.slice(e[k], e[k + 1] - e[k]) for b, e in zip(batches, edges, strict=True) if e[k] < e[k + 1]]
+                    if span:
+                        yield from self._frames(pa.Table.from_batches(span), rows)
+
     def advance(self, new: pd.DataFrame, kept: list) -> tuple[pd.DataFrame, list]:
         """``new`` (in order) with its features, and the rows to keep; ``kept`` are the rows before."""
         old = pd.DataFrame(kept, columns=self.keep, dtype="float64")
@@ -162,7 +223,7 @@ def stream_features(df: DataFrame, cfg: FeatureConfig | None = None) -> DataFram
 
     ``df`` is the aligned telemetry. Emits every row once, with the same columns as the batch features (stress uses
     the fixed limit). Rows that arrive before an already processed time are treated as newest, never re-emitted. Of a
-    machine's rows in a micro-batch a task holds what came in, as typed columns; features are made ``SLICE_ROWS`` rows at a time.
+    machine's rows in a micro-batch a task sorts ``SORT_ROWS`` at a time, as typed columns; features are made ``SLICE_ROWS`` rows at a time.
     """
     plan = History(df, cfg or FeatureConfig(stress_scope="fixed"))
     schema = T.StructType(plan.fields + [T.StructField(n, T.DoubleType()) for n in plan.made])
@@ -171,7 +232,7 @@ def stream_features(df: DataFrame, cfg: FeatureConfig | None = None) -> DataFram
 
     def step(key, batches, state):
         tail = state.get[0] if state.exists else []
-        for new in plan.slices([plan.packed(part) for part in batches]):
+        for new in plan.slices(plan.packed(part) for part in batches):
             rows, tail = plan.advance(new, tail)
             state.update((tail,))
             yield rows[schema.names]

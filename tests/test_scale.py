@@ -2,9 +2,12 @@
 
 import json
 
-from pyspark.sql import functions as F
+import numpy as np
+import pytest
 
-from telemetry_ops.operators import explain, validate
+from telemetry_ops.operators import align as al, explain, validate
+from telemetry_ops.sources import telemetry as t
+from telemetry_ops.streaming import pipelines as s, stateful
 
 
 def test_a_request_is_read_once_for_all_its_checks(spark):
@@ -33,3 +36,54 @@ def test_known_features_change_no_group_sum(spark):
     for known in (["torque_Nm_mean_6", "nothing"], ["torque_Nm"], [n for n in names if n]):
         quick = df.select("id", explain.group_impacts(known=known).alias("g"))
         assert quick.collect() == plain
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_a_delivery_too_large_to_sort_is_never_held(spark, tiny, monkeypatch, hot):
+    """Tables come one at a time, out of order; spans of time go on, with missing times last."""
+    monkeypatch.setattr(s, "SORT_ROWS", 40)
+    plan = s.History(al.align(t.system(spark, tiny), t.application(spark, tiny)), s.FeatureConfig(stress_scope="fixed"))
+    rows = plan.base.where("machine_id = 'M1'").toPandas()
+    if hot:
+        rows.loc[rows.index[:90], "timestamp"] = rows["timestamp"].iloc[60]
+    rows.loc[rows.index[5], "timestamp"] = None
+    mixed, sizes, concat = rows.sample(frac=1, random_state=3), [], s.pa.concat_tables
+    monkeypatch.setattr(s.pa, "concat_tables", lambda parts, **_: pytest.fail("all tables were held"))
+    monkeypatch.setattr(plan, "_frames", lambda table, n, f=plan._frames: (sizes.append(table.num_rows), f(table, n))[1])
+    frames = list(plan.slices((plan.packed(mixed.iloc[i:i + 25]) for i in range(0, len(mixed), 25)), 15))
+    monkeypatch.setattr(s.pa, "concat_tables", concat)
+    assert max(map(len, frames)) <= 15 and max(sizes) <= (130 if hot else 40) and len(sizes) > 2
+    ids = np.concatenate([x["event_id"] for x in frames])
+    assert ids.tolist() == rows.sort_values(["timestamp", "event_id"])["event_id"].tolist()
+
+
+def test_waiting_blocks_are_asked_for_one_by_one():
+    """An iterator over the state is sent thousands of entries, and so all rows of a machine, at once."""
+    held, timers, values = {}, [], {}
+
+    class Blocks:
+        updateValue = staticmethod(held.__setitem__)
+        removeKey = staticmethod(held.pop)
+        getValue = staticmethod(held.__getitem__)
+        keys = staticmethod(lambda: iter(list(held)))
+        iterator = staticmethod(lambda: pytest.fail("all blocks were asked for"))
+
+    class Handle:
+        getMapState = staticmethod(lambda *_: Blocks)
+        registerTimer = staticmethod(timers.append)
+
+        @staticmethod
+        def getValueState(name, _):
+            class Value:
+                exists = staticmethod(lambda: name in values)
+                get = staticmethod(lambda: values[name])
+                update = staticmethod(lambda x: values.__setitem__(name, x))
+                clear = staticmethod(lambda: values.pop(name))
+            return Value
+
+    waiting = stateful._Waiting(Handle, "at")
+    for i in range(5):
+        waiting.add(s.pa.table({"at": s.pa.array([1_000_000 * (i * 10 + j) for j in range(10)], s.pa.timestamp("us"))}))
+    assert sum(x.num_rows for x in waiting.take_in_turn(1, 25_000_000)) == 25 and timers == [1, 30_001, 25_001]
+    assert list(waiting.take_in_turn(30_001, 99_000_000)) == []
+    assert sum(x.num_rows for x in waiting.take_in_turn(25_001, 99_000_000)) == 25 and not held
