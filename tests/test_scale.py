@@ -5,7 +5,9 @@ import json
 import numpy as np
 import pytest
 
-from telemetry_ops.operators import align as al, explain, validate
+from pyspark.sql import functions as F
+
+from telemetry_ops.operators import align as al, explain, smote, validate
 from telemetry_ops.sources import telemetry as t
 from telemetry_ops.streaming import pipelines as s, stateful
 
@@ -87,3 +89,17 @@ def test_waiting_blocks_are_asked_for_one_by_one():
     assert sum(x.num_rows for x in waiting.take_in_turn(1, 25_000_000)) == 25 and timers == [1, 30_001, 25_001]
     assert list(waiting.take_in_turn(30_001, 99_000_000)) == []
     assert sum(x.num_rows for x in waiting.take_in_turn(25_001, 99_000_000)) == 25 and not held
+
+
+def test_many_groups_meet_in_rounds(spark, monkeypatch):
+    """A round sends a row to few groups, and what was found before counts on; copies are among the rows."""
+    df = spark.range(240).select(F.col("id"), F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: F.pmod(
+        F.xxhash64(F.col("id") % 230, i), F.lit(997)).cast("double")).alias("vec"))
+    order = ("id", "rank")
+    whole = smote.knn(df, "id", "vec", 3, block_rows=1000).orderBy(*order).collect()
+    monkeypatch.setattr(smote, "_GROUP_BYTES", 8 * 4 * 20)
+    monkeypatch.setattr(smote, "_GROUPS", 4)
+    sent, write = [], smote.written
+    monkeypatch.setattr(smote, "written", lambda out, name="table", keep=False: (sent.append(name), write(out, name, keep))[1])
+    assert smote.knn(df, "id", "vec", 3, block_rows=10).orderBy(*order).collect() == whole and len(whole) == 720
+    assert sent.count("near") >= 3
